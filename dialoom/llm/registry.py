@@ -1,11 +1,12 @@
 """The corpus operators' queries and the SQL that they are held against."""
 
-from . import mixing, packing, quality, secrets
+from . import mixing, neardup, packing, quality, secrets
 
 _QUERIES = {
     "op1_quality_rules": (quality.op1_quality_rules, quality.OP1_SQL),
     "op6_source_mix": (mixing.op6_source_mix, mixing.OP6_SQL),
     "op7_secret_scan": (secrets.op7_secret_scan, secrets.OP7_SQL),
+    "op4_near_duplicates": (neardup.op4_near_duplicates, None),
     "op10_packing": (packing.op10_packing, None),
 }
 

@@ -55,10 +55,8 @@ def test_pieces_are_whole_documents(spark):
     want = sorted(
         np.array([*tokenizer.encode(t or "", add_special_tokens=False).ids, 2], "<u4").tobytes() for _, t, _ in rows
     )
-    docs = {}
     for r in got.itertuples():
         assert zlib.crc32(r.ids) == r.ids_crc32 and len(r.ids) == 4 * r.length <= 4 * 4096
-        docs.setdefault((r.doc_id, r.doc_tokens, r.start == 0 and r.Index), []) if False else None
     longest = got[got.doc_tokens == 12001].sort_values("start")
     assert list(longest.start) == [0, 4096, 8192]
     whole = [b"".join(longest.ids)] + list(got[got.doc_tokens != 12001].ids)
