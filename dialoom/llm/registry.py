@@ -1,12 +1,13 @@
 """The corpus operators' queries and the SQL that they are held against."""
 
-from . import langid, mixing, neardup, packing, quality, secrets
+from . import langid, mixing, neardup, packing, quality, secrets, vectors
 
 _QUERIES = {
     "op1_quality_rules": (quality.op1_quality_rules, quality.OP1_SQL),
     "op6_source_mix": (mixing.op6_source_mix, mixing.OP6_SQL),
     "op7_secret_scan": (secrets.op7_secret_scan, secrets.OP7_SQL),
     "op2_language_id": (langid.op2_language_id, None),
+    "op3_near_vectors": (vectors.op3_near_vectors, None),
     "op4_near_duplicates": (neardup.op4_near_duplicates, None),
     "op10_packing": (packing.op10_packing, None),
 }
