@@ -1,6 +1,6 @@
 """The corpus operators' queries and the SQL that they are held against."""
 
-from . import langid, mixing, neardup, packing, quality, secrets, vectors
+from . import langid, mixing, neardup, packing, quality, repeats, secrets, vectors
 
 _QUERIES = {
     "op1_quality_rules": (quality.op1_quality_rules, quality.OP1_SQL),
@@ -9,6 +9,7 @@ _QUERIES = {
     "op2_language_id": (langid.op2_language_id, None),
     "op3_near_vectors": (vectors.op3_near_vectors, None),
     "op4_near_duplicates": (neardup.op4_near_duplicates, None),
+    "op9_repeated_strings": (repeats.op9_repeated_strings, None),
     "op10_packing": (packing.op10_packing, None),
 }
 
