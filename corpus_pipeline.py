@@ -1,12 +1,88 @@
-"""The corpus pipeline; stages follow."""
+"""From raw documents to packed training windows: each stage reads what the one before wrote.
 
-STAGES = []
+Every stage but the last returns the columns that it was given. ORACLE_SQL is None because neither the near-duplicate
+groups nor the packing can be written in SQL; tests hold the stages against brute-force versions.
+"""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from dialoom.llm import mixing, neardup, packing, quality, secrets
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules keep."""
+    return quality.quality_rules(docs.withColumn("_given", F.struct("*"))).filter("kept").select("_given.*")
+
+
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies: the one with the smallest id.
+
+    Rows that repeat an id are one document; rows without id are deduplicated by their text.
+    """
+    judged = neardup.near_duplicates(docs)
+    stays = judged.filter("kept and doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("_times"))
+    named = docs.join(stays, "doc_id").select(*docs.columns, "_times")
+    once = named.filter("_times = 1").drop("_times")
+    again = named.filter("_times > 1").drop("_times").dropDuplicates(["doc_id"])
+    nameless = docs.filter("doc_id is null").dropDuplicates(["text"])
+    return once.unionByName(again).unionByName(nameless).select(*docs.columns)
+
+
+def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with every secret masked."""
+    clean = secrets.redact(secrets.secret_scan(docs))
+    if "n_chars" in docs.columns:
+        length = F.length("text").cast(docs.schema["n_chars"].dataType)
+        clean = clean.withColumn("n_chars", F.when(F.size("secret_spans") > 0, length).otherwise(F.col("n_chars")))
+    return clean.select(*docs.columns)
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Copies of the documents by their source's rate, shuffled."""
+    return mixing.mix_sources(docs).select(*docs.columns)
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A row a piece of a document in a window."""
+    return packing.pack(docs)
+
+
+STAGES = [
+    ("quality_rules", quality_stage),
+    ("near_duplicates", near_duplicate_stage),
+    ("secret_scan", secret_stage),
+    ("source_mix", mixing_stage),
+    ("packing", packing_stage),
+]
 ORACLE_SQL = None
 
 
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``, each written to the shared folder and read again by the next."""
+    context = spark.sparkContext
+    shared = context.getConf().get("spark.checkpoint.dir")
+    if not shared:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        import tempfile
+
+        shared = tempfile.mkdtemp(prefix="pipeline-")
+    work = f"{shared.rstrip('/')}/pipeline-{uuid.uuid4().hex}"
+    docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
+    for name, stage in STAGES:
+        stage(spark, docs, sf_dir).write.parquet(f"{work}/{name}")
+        docs = spark.read.parquet(f"{work}/{name}")
+    return docs
+
+
 def queries():
-    return {}
+    return {"pipeline": run}
 
 
 def oracle_sql():
-    return {}
+    return {"pipeline": ORACLE_SQL} if ORACLE_SQL else {}
