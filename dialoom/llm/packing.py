@@ -22,44 +22,92 @@ from .common import partitions, table
 WINDOW = 4096
 END_ID = 2
 POOL = 200_000
-_CACHE = 400_000
+#: Chunks of text whose ids a worker remembers; beyond, it forgets them all.
+_CACHE = 1_000_000
+_BREAK = "\x01"
 
 
-class _Chunks(dict):
-    """Ids, as little-endian bytes, of what stands between blanks. The tokenizer never joins across a blank."""
+class Chunks(dict):
+    """Ids, as little-endian bytes, of what stands between blanks. The tokenizer never joins across a blank.
+
+    New chunks are encoded together, parted by a character that is one id of its own. A chunk in ASCII capitals is
+    looked up in lower case (the vocabulary's normaliser lowers it), and a comma or full stop after a last letter is a
+    token of its own.
+    """
 
     def __init__(self, tokenizer):
         super().__init__({"": b""})
         self.tokenizer = tokenizer
+        found = tokenizer.encode(f"a {_BREAK} a", add_special_tokens=False).ids
+        self.parted = found[1] if len(found) == 3 and found[0] == found[2] else None
+        self.lowers = tokenizer.encode("Aa", add_special_tokens=False).ids == tokenizer.encode("aa", add_special_tokens=False).ids
+        self.stops = {c: self._alone(c) for c in ",."}
+        self.stops = {c: ids for c, ids in self.stops.items() if self._alone(f"a{c}") == self._alone("a") + ids}
 
-    def __missing__(self, chunk: str) -> bytes:
+    def _alone(self, chunk: str) -> bytes:
         import numpy as np
 
-        if len(self) > _CACHE:
-            self.clear()
-        ids = self.tokenizer.encode(chunk, add_special_tokens=False).ids
-        self[chunk] = found = np.array(ids, "<u4").tobytes()
-        return found
+        return np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
 
+    def __missing__(self, chunk: str) -> bytes:
+        self.learn([chunk])
+        return self[chunk]
 
-_loaded: dict[str, _Chunks] = {}
+    def _parts(self, chunk: str) -> tuple[str, bytes]:
+        end = b""
+        if chunk[-1] in self.stops and "" < chunk[-2:-1] < "\u0100" and chunk[-2].isalpha():
+            chunk, end = chunk[:-1], self.stops[chunk[-1]]
+        return (chunk.lower() if self.lowers and chunk.isascii() else chunk), end
 
+    def learn(self, chunks) -> None:
+        import numpy as np
 
-def _chunks(path: str | None) -> _Chunks:
+        if len(self) + len(chunks) > _CACHE:
+            self.clear()
+            self[""] = b""
+        parts = {c: self._parts(c) for c in chunks if c not in self}
+        stems = [s for s in {s for s, _ in parts.values()} if s not in self]
+        joined = [s for s in stems if self.parted is not None and _BREAK not in s and "<" not in s]
+        for low in range(0, len(joined), 4000):
+            some = joined[low : low + 4000]
+            text = f" {_BREAK} ".join(some)
+            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+            at = np.flatnonzero(ids == self.parted)
+            if len(at) == len(some) - 1:
+                self.update(zip(some, (x[k > 0 :].tobytes() for k, x in enumerate(np.split(ids, at)))))
+        for s in stems:
+            if s not in self:
+                self[s] = self._alone(s)
+        for c, (s, end) in parts.items():
+            if c != s:
+                self[c] = self[s] + end
+
+
+_loaded: dict[str, Chunks] = {}
+
+
+def _chunks(path: str | None) -> Chunks:
     if path is None:
         import public_tokenizers
 
         path = public_tokenizers.path("word_bpe_49k.json")
     if path not in _loaded:
+        import os
+
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
-        _loaded[path] = _Chunks(Tokenizer.from_file(path))
+        _loaded[path] = Chunks(Tokenizer.from_file(path))
     return _loaded[path]
 
 
-def token_bytes(text: str | None, chunks: _Chunks, end_id: int = END_ID) -> bytes:
-    blank = (text or "").replace("\n", " ")
-    return b"".join(map(chunks.__getitem__, blank.split(" "))) + end_id.to_bytes(4, "little")
+def token_bytes(texts: list[str | None], chunks: Chunks, end_id: int = END_ID):
+    """Yields the ids of each text, as little-endian bytes, with the end id."""
+    split = [(t or "").replace("\n", " ").split(" ") for t in texts]
+    chunks.learn([w for w in set().union(*split) if w not in chunks])
+    end = end_id.to_bytes(4, "little")
+    for words in split:
+        yield b"".join(map(chunks.__getitem__, words)) + end
 
 
 def tokenised_pieces(
@@ -78,8 +126,8 @@ def tokenised_pieces(
         chunks, order = _chunks(tokenizer), 0
         for batch in batches:
             rows, columns = [], [[] for _ in range(6)]
-            for row, value in enumerate(batch.column(1)):
-                ids = token_bytes(value.as_py(), chunks, end_id)
+            texts = (batch.column(1).slice(at, 128).to_pylist() for at in range(0, batch.num_rows, 128))
+            for row, ids in enumerate(ids for some in texts for ids in token_bytes(some, chunks, end_id)):
                 for at in range(0, len(ids), 4 * window):
                     piece = ids[at : at + 4 * window]
                     rows.append(row)

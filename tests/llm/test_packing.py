@@ -67,3 +67,21 @@ def test_pieces_are_whole_documents(spark):
 
 def test_empty_table(spark):
     assert pack(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_chunks_are_the_tokenizers_own(monkeypatch):
+    import random
+
+    from tokenizers import Tokenizer
+
+    from dialoom.llm import packing
+
+    monkeypatch.setattr(packing, "_CACHE", 50)
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    chunks, rng = packing.Chunks(tokenizer), random.Random(2)
+    pool = list("aAbBzéÉßİΣσ.,;'!?<|>019 \n\n\t\x01\x85\xa0\u3000\u0301日本") + ["'s", "'LL ", "don't", "<|endoftext|>", ", ", ". ", "The ", "ABC."]
+    texts = ["".join(rng.choices(pool, k=rng.randint(0, 60))) for _ in range(800)]
+    got = [x for low in range(0, 800, 7) for x in packing.token_bytes(texts[low : low + 7], chunks)]
+    for text, ids in zip(texts, got):
+        want = [*tokenizer.encode(text, add_special_tokens=False).ids, 2]
+        assert np.frombuffer(ids, "<u4").tolist() == want, text
