@@ -1,9 +1,13 @@
-"""Every registered query of the engine with the SQL it is held against."""
+"""Every registered query of the engine with the SQL that it is held against."""
+
+from . import turn_queries
+
+_MODULES = (turn_queries,)
 
 
 def queries():
-    return {}
+    return {name: query for module in _MODULES for name, (query, _) in module.QUERIES.items()}
 
 
 def oracle_sql():
-    return {}
+    return {name: sql for module in _MODULES for name, (_, sql) in module.QUERIES.items() if sql}
