@@ -76,21 +76,39 @@ def forest(batches):
                 low, high = min(a, b), max(a, b)
                 parent[high] = low
                 parent.setdefault(low, low)
-        if len(parent) > 500_000:  # the memory of a task stays bounded; the rest is left to the rounds
+        if len(parent) > 2 * EDGES + 100_000:  # the memory of a task stays bounded; the rest is left to the rounds
             yield flush()
     if parent:
         yield flush()
 
 
+#: Edges that one task reduces to a forest at once; more are dealt to more tasks.
+EDGES = 200_000
+
+
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """(node, component_id) of every node with an edge; the id is the smallest node reachable.
 
-    Large-star and small-star rounds over (a, b): each hangs neighbours under the smallest one, so a chain of n
-    nodes needs about log n rounds and no task ever holds a whole component. Each round is checkpointed and a
-    round that changes no edge ends the loop.
+    Each task first replaces its edges by a spanning forest. Where they are few enough for one task, that is the
+    answer. Beyond, large-star and small-star rounds hang neighbours under the smallest one, so a chain of n nodes
+    needs about log n rounds and no task ever holds a whole component. Each round is checkpointed and a round that
+    changes no edge ends the loop.
     """
     pairs = edges.select(F.col("a").cast("long"), F.col("b").cast("long")).filter("a <> b")
     pairs = cut(pairs.mapInArrow(forest, "a long, b long"))
+    tasks = -(-pairs.count() // EDGES)
+    pairs = cut(pairs.coalesce(max(tasks, 1)).mapInArrow(forest, "a long, b long"))
+    if tasks > 1:
+        pairs = _stars(pairs, rounds)
+        members = pairs.groupBy("a").agg(F.min("b").alias("component_id")).withColumnRenamed("a", "node")
+    else:  # a forest hangs every node under the smallest of its tree
+        members = pairs.select(F.col("b").alias("node"), F.col("a").alias("component_id"))
+        pairs = pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))
+    roots = pairs.select(F.col("b").alias("node"), F.col("b").alias("component_id")).distinct()
+    return members.unionByName(roots)
+
+
+def _stars(pairs: DataFrame, rounds: int) -> DataFrame:
     seen = None
     for _ in range(rounds):
         both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -108,6 +126,4 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         seen = tuple(now)
     else:
         raise RuntimeError("components did not settle")
-    members = pairs.groupBy("a").agg(F.min("b").alias("component_id")).withColumnRenamed("a", "node")
-    roots = pairs.select(F.col("b").alias("node"), F.col("b").alias("component_id")).distinct()
-    return members.unionByName(roots)
+    return pairs
