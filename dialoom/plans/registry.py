@@ -1,8 +1,8 @@
 """Every registered query of the engine with the SQL that it is held against."""
 
-from . import turn_queries
+from . import dialog_queries, function_queries, turn_queries
 
-_MODULES = (turn_queries,)
+_MODULES = (turn_queries, function_queries, dialog_queries)
 
 
 def queries():

@@ -8,7 +8,7 @@ from ..operators import dialogs, segments, turns
 from . import base
 from .base import GLITCH_GAP, GLITCH_MAX, LONGEST, MAX_GAP, MAX_TURNS, MERGE_GAP, SHORTEST, THRESHOLD, TURNS
 
-_MILLIS = [F.round(n, 3).alias(n) for n in ("start", "end")]
+_MILLIS = lambda: [F.floor(F.col(n) * 1000 + 0.3137).cast("long").alias(f"{n}_ms") for n in ("start", "end")]
 _ROUND = lambda *names: [F.round(n, 6).alias(n) for n in names]
 
 NORMAL = f"""{TURNS},
@@ -36,7 +36,8 @@ def split_sql(source: str) -> str:
     CASE WHEN "end" - "start" <= {LONGEST} THEN 1 ELSE greatest(2, ceil(("end" - "start") / {LONGEST}))::INT END AS n FROM {source} WHERE greatest(0, "end" - "start") >= {SHORTEST})))"""
 
 
-MILLIS = 'round("start", 3) AS "start", round("end", 3) AS "end"'
+#: Off the halves, where two engines' last bits would decide.
+MILLIS = 'floor("start" * 1000 + 0.3137)::BIGINT AS start_ms, floor("end" * 1000 + 0.3137)::BIGINT AS end_ms'
 
 
 def _merged(spark, d):
@@ -65,12 +66,12 @@ def turn_clean(spark, d):
 
 def turn_split(spark, d):
     rows = turns.split_turns(turns.normalize_turns(base.turns(spark, d)), SHORTEST, LONGEST)
-    return rows.select("audio_id", "speaker_label", *_MILLIS, "chunk_index", "num_chunks")
+    return rows.select("audio_id", "speaker_label", *_MILLIS(), "chunk_index", "num_chunks")
 
 
 def turn_cleanup(spark, d):
     rows = turns.cleanup_turns(base.turns(spark, d), MERGE_GAP, GLITCH_MAX, GLITCH_GAP, SHORTEST, LONGEST, ("event_id",))
-    return rows.select("audio_id", "speaker_label", *_MILLIS, "chunk_index", "num_chunks")
+    return rows.select("audio_id", "speaker_label", *_MILLIS(), "chunk_index", "num_chunks")
 
 
 def turn_audit_counts(spark, d):
