@@ -74,7 +74,10 @@ class Chunks(dict):
             ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
             at = np.flatnonzero(ids == self.parted)
             if len(at) == len(some) - 1:
-                self.update(zip(some, (x[k > 0 :].tobytes() for k, x in enumerate(np.split(ids, at)))))
+                raw, start = ids.tobytes(), 0
+                for s, end in zip(some, [*(4 * at).tolist(), len(raw)]):
+                    self[s] = raw[start:end]
+                    start = end + 4
         for s in stems:
             if s not in self:
                 self[s] = self._alone(s)
@@ -126,7 +129,7 @@ def tokenised_pieces(
         chunks, order = _chunks(tokenizer), 0
         for batch in batches:
             rows, columns = [], [[] for _ in range(6)]
-            texts = (batch.column(1).slice(at, 128).to_pylist() for at in range(0, batch.num_rows, 128))
+            texts = (batch.column(1).slice(at, 512).to_pylist() for at in range(0, batch.num_rows, 512))
             for row, ids in enumerate(ids for some in texts for ids in token_bytes(some, chunks, end_id)):
                 for at in range(0, len(ids), 4 * window):
                     piece = ids[at : at + 4 * window]
