@@ -40,7 +40,11 @@ def cut(df: DataFrame) -> DataFrame:
                 raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
             named = tempfile.mkdtemp(prefix="checkpoints-")
         context.setCheckpointDir(named)
-    return df.checkpoint(eager=True)
+    done = df.checkpoint(eager=True)
+    # A checkpoint keeps its plan's estimated size, and joins multiply estimates: in a loop they outgrow any number.
+    # The same rows without an estimate leave the choice of joins to what adaptive execution measures.
+    rows = done._jdf.queryExecution().toRdd()
+    return DataFrame(spark._jsparkSession.internalCreateDataFrame(rows, done._jdf.schema(), False), spark)
 
 
 def partitions(spark: SparkSession) -> int:
