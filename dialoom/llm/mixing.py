@@ -77,7 +77,8 @@ def mix_sources(
 ) -> DataFrame:
     """The copies of the documents, in an order that the seed fixes, with ``rate``, ``copies`` and ``copy`` (from 0).
 
-    ``size`` is the expected number of rows over the number of documents.
+    ``size`` is the expected number of rows over the number of documents. A source without a given weight gets none, and
+    weights of sources that the table lacks are shared by the others.
     """
     rates = target_rates(df, source, weights, power, size)
     # one row a source; Spark broadcasts it only below its size limit, and splits a hot source beyond

@@ -55,7 +55,7 @@ def runs(df: DataFrame, key: str, text: str) -> DataFrame:
 
         def row():
             nonlocal number
-            data = zstandard.ZstdCompressor(level=1).compress(b"".join(parts))
+            data = zstandard.ZstdCompressor(level=3).compress(b"".join(parts))
             made = pa.RecordBatch.from_arrays(
                 [
                     pa.array([number], pa.int64()),
@@ -104,9 +104,9 @@ def anchors(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndar
     window, n = length - gram + 1, len(data)
     if n < length:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    blocked = np.bincount(np.maximum(offsets[:-1], offsets[1:] - length + 1), minlength=n + 1)[: n + 1]
-    blocked = blocked - np.bincount(offsets[1:], minlength=n + 1)[: n + 1]
-    whole = np.cumsum(blocked) == 0  # a string of the length starts here and ends in the same document
+    whole = np.ones(n, bool)  # whether a string of the length starts here and ends in the same document
+    for begin, end in zip(offsets[:-1].tolist(), offsets[1:].tolist()):
+        whole[max(begin, end - length + 1) : end] = False
     numbers = np.random.Generator(np.random.PCG64(41)).integers(1, 1 << 63, 256, np.uint64)
     up, down = powers(1 << (CHUNK + 2 * length).bit_length())
     places, hashes = [], []
@@ -144,15 +144,16 @@ def bucket_of(hashes: np.ndarray, buckets: int) -> np.ndarray:
 
 def suffixes(data, offsets, places, length: int) -> np.ndarray:
     """(anchors, length + left) bytes: what follows each anchor, then what precedes it, backwards."""
+    from numpy.lib.stride_tricks import sliding_window_view
+
     left = length - length // 2
     doc = np.searchsorted(offsets, places, "right") - 1
-    ahead = places[:, None] + np.arange(length)
-    behind = places[:, None] - 1 - np.arange(left)
+    padded = np.concatenate([np.full(left, _PAD, np.uint8), data, np.full(length, _PAD, np.uint8)])
     out = np.empty((len(places), length + left), np.uint8)
-    out[:, :length] = data[np.minimum(ahead, len(data) - 1)]
-    out[:, length:] = data[np.maximum(behind, 0)]
-    out[:, :length][ahead >= offsets[doc + 1][:, None]] = _PAD
-    out[:, length:][behind < offsets[doc][:, None]] = _PAD
+    out[:, :length] = sliding_window_view(padded, length)[places + left]
+    out[:, length:] = sliding_window_view(padded, left)[places][:, ::-1]
+    out[:, :length][np.arange(length) >= (offsets[doc + 1] - places)[:, None]] = _PAD
+    out[:, length:][np.arange(left) >= (places - offsets[doc])[:, None]] = _PAD
     return out
 
 
@@ -172,7 +173,7 @@ def front_code(strings: np.ndarray, places: np.ndarray) -> bytes:
     counts = np.diff(np.append(at, len(places))).astype(np.uint32)
     head = np.array([len(at), len(places)], np.uint32)
     blob = b"".join(x.tobytes() for x in (head, counts, places.astype(np.uint32), shared, rest))
-    return zstandard.ZstdCompressor(level=1).compress(blob)
+    return zstandard.ZstdCompressor(level=3).compress(blob)
 
 
 class Stream:
@@ -440,8 +441,10 @@ def covered(df: DataFrame, length: int) -> DataFrame:
 
 def removed(size: int, spans: np.ndarray) -> np.ndarray:
     """Which bytes lie in a span."""
-    depth = np.bincount(spans[:, 0], minlength=size + 1) - np.bincount(spans[:, 1], minlength=size + 1)
-    return np.cumsum(depth[:size]) > 0
+    depth = np.zeros(size + 1, np.int32)
+    np.add.at(depth, spans[:, 0], 1)
+    np.subtract.at(depth, spans[:, 1], 1)
+    return np.cumsum(depth[:size], dtype=np.int32, out=depth[:size]) > 0
 
 
 def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
@@ -461,20 +464,17 @@ def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", lengt
                 marks = batch.column(4)[row].as_py()
                 pairs = np.frombuffer(b"".join(marks or []), np.int64).reshape(-1, 2)
                 gone = removed(len(data), pairs)
-                opens = gone.copy()
-                opens[1:] &= ~gone[:-1]
-                starts = offsets[:-1][offsets[:-1] < len(data)]
-                opens[starts] = gone[starts]
-                total, count = (np.concatenate([[0], np.cumsum(x, dtype=np.int64)]) for x in (gone, opens))
                 keys = batch.column(1).slice(row, 1).flatten()
                 for low in range(0, len(keys), 2000):
-                    ends = offsets[low : low + 2001]
-                    docs = [
-                        data[a:b].tobytes() if total[b] == total[a] else data[a:b][~gone[a:b]].tobytes()
-                        for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())
-                    ]
+                    ends = offsets[low : low + 2001].tolist()
+                    docs, taken, parts = [], [], []
+                    for a, b in zip(ends[:-1], ends[1:]):
+                        mark = gone[a:b]
+                        taken.append(int(np.count_nonzero(mark)))
+                        parts.append(int(mark[0]) + int(np.count_nonzero(mark[1:] & ~mark[:-1])) if taken[-1] else 0)
+                        docs.append((data[a:b][~mark] if taken[-1] else data[a:b]).tobytes())
                     yield pa.RecordBatch.from_arrays(
-                        [keys.slice(low, len(docs)), pa.array(np.diff(ends)), pa.array(np.diff(total[ends])), pa.array(np.diff(count[ends])), pa.array(docs, pa.binary())],
+                        [keys.slice(low, len(docs)), pa.array(np.diff(ends)), pa.array(taken, pa.int64()), pa.array(parts, pa.int64()), pa.array(docs, pa.binary())],
                         schema.names,
                     )
 

@@ -1,0 +1,55 @@
+import random
+import re
+
+from pyspark.sql import functions as F
+
+from dialoom.llm.secrets import RULES, Rule, redact, secret_scan, trigram_query
+
+
+def brute(text, rules=RULES):
+    out = []
+    for order, r in enumerate(rules):
+        for m in re.finditer(r.pattern, text or "", re.I | re.A if r.fold else re.A):
+            if len(m.group(r.group)) >= r.least:
+                out.append((m.start(), order, m.end(), r.kind))
+    return [(k, s, e) for s, _, e, k in sorted(out)]
+
+
+def texts():
+    rng = random.Random(8)
+    bits = ["password", "PassWd", "secret", "toKEN", "api_key", "APIKEY", "api-key", "=", ":", " = ", '"', "'", "AKIA", "AKIA" + "A1" * 8, "0123456789abcdef" * 2, "deadbeef", "ghp_" + "aZ9" * 13, "xoxb-", "eyJabc.eyJdef.sig" * 2, "-----BEGIN RSA PRIVATE KEY-----", "é", "日", " ", "\n", "longvalue123", "x", "=="]
+    out = [None, "", "password: token: abcdefgh", "secret=" + "a" * 50_000, "K" + "eyſ", "the token = 'abcdefghij' end"]
+    return out + ["".join(rng.choices(bits, k=rng.randint(1, 25))) for _ in range(300)]
+
+
+def test_against_brute_force(spark):
+    rows = texts()
+    ids = [i if i % 9 else (None if i % 2 else 1) for i in range(len(rows))]
+    df = spark.createDataFrame([(d, t, i, 7) for i, (d, t) in enumerate(zip(ids, rows))], "doc_id long, text string, n int, secret_spans int").repartition(4)
+    got = {r.n: [tuple(s) for s in r.secret_spans] for r in secret_scan(df).collect()}
+    assert [got[i] for i in range(len(rows))] == [brute(t) for t in rows]
+    assert sum(map(len, got.values())) > 100
+    assert secret_scan(df.limit(0)).count() == 0
+
+
+def test_queries_hold_for_every_match():
+    for rule in RULES:
+        query = trigram_query(rule.pattern, rule.fold)
+        for text in texts():
+            for m in re.finditer(rule.pattern, text or "", re.I | re.A if rule.fold else re.A):
+                if query is not None:
+                    found = m[0].lower() if rule.fold else m[0]
+                    assert any(all(t in found for t in clause) for clause in query)
+    assert trigram_query("ab|cde") is None and trigram_query("[0-9a-f]+") is None
+    assert trigram_query("abcd(ef)?") == frozenset([frozenset(["abc", "bcd"])])
+    assert trigram_query("x(foo|bar)+y") == frozenset([frozenset(["foo"]), frozenset(["bar"])])
+
+
+def test_redaction_and_native_plan(spark):
+    df = spark.createDataFrame([(1, "a password=hunter2hunter é AKIA" + "B" * 16 + " z"), (2, "clean"), (3, None)], "doc_id long, text string")
+    scanned = secret_scan(df)
+    assert {r.doc_id: r.text for r in redact(scanned).collect()} == {1: "a [secret] é [secret] z", 2: "clean", 3: None}
+    plan = scanned._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+    one = secret_scan(df, rules=(Rule("hex", "[0-9a-f]+", 4),)).select(F.size("secret_spans").alias("n")).collect()
+    assert [r.n for r in one] == [0, 0, 0]
