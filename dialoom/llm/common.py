@@ -47,6 +47,22 @@ def cut(df: DataFrame) -> DataFrame:
     return DataFrame(spark._jsparkSession.internalCreateDataFrame(rows, done._jdf.schema(), False), spark)
 
 
+#: Rows of a few numbers that one task takes, and that a broadcast may hold.
+ROWS, BROADCAST = 100_000, 20_000
+
+
+def settle(df: DataFrame) -> tuple[DataFrame, int]:
+    """Rows of a few numbers, written like those of ``cut`` and read by as few tasks as their number asks for."""
+    done = cut(df)
+    n = done.count()
+    return done.coalesce(max(1, -(-n // ROWS))), n
+
+
+def small(df: DataFrame, n: int) -> DataFrame:
+    """Broadcast if its n rows are few enough; else joined as Spark sees fit."""
+    return F.broadcast(df) if n <= BROADCAST else df
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -100,8 +116,10 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """
     pairs = edges.select(F.col("a").cast("long"), F.col("b").cast("long")).filter("a <> b")
     pairs = cut(pairs.mapInArrow(forest, "a long, b long"))
-    tasks = -(-pairs.count() // EDGES)
-    pairs = cut(pairs.coalesce(max(tasks, 1)).mapInArrow(forest, "a long, b long"))
+    tasks = pairs.rdd.getNumPartitions()
+    if tasks > 1:
+        tasks = -(-pairs.count() // EDGES)
+        pairs = cut(pairs.coalesce(max(tasks, 1)).mapInArrow(forest, "a long, b long"))
     if tasks > 1:
         pairs = _stars(pairs, rounds)
         members = pairs.groupBy("a").agg(F.min("b").alias("component_id")).withColumnRenamed("a", "node")
