@@ -47,8 +47,8 @@ def cut(df: DataFrame) -> DataFrame:
     return DataFrame(spark._jsparkSession.internalCreateDataFrame(rows, done._jdf.schema(), False), spark)
 
 
-#: Rows of a few numbers that one task takes, and that a broadcast may hold.
-ROWS, BROADCAST = 100_000, 20_000
+#: Rows of a few numbers that one task takes, and that a broadcast may hold: counted first, some ten megabytes at most.
+ROWS, BROADCAST = 100_000, 400_000
 
 
 def settle(df: DataFrame) -> tuple[DataFrame, int]:
