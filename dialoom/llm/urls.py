@@ -19,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, table
+from .common import cut, settle, small, table
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -43,8 +43,8 @@ RULES = (
     Rule("example.com", "/de/", "block"),
     Rule("org", "/fr/", "allow"),
 )
-#: Share of a rank that follows links, rounds, rounds between checkpoints, distrust that a unit of trust outweighs.
-DAMPING, ROUNDS, EACH, TOLERANCE = 0.85, 16, 4, 1.0
+#: Share of a rank that follows links, rounds, distrust that a unit of trust outweighs.
+DAMPING, ROUNDS, TOLERANCE = 0.85, 12, 1.0
 
 
 def _after(url: Column) -> Column:
@@ -107,20 +107,17 @@ def spread(edges: DataFrame, seeds: DataFrame, damping: float, rounds: int) -> D
     """
     total = edges.groupBy("kind", "src").agg(F.sum("weight").alias("total"))
     shares = cut(edges.join(total, ["kind", "src"]).select("kind", F.col("src").alias("host"), "dst", (F.col("weight") / F.col("total")).alias("part")))
-    seeds = cut(seeds)
+    linking = settle(shares.select("kind", "host").distinct())
+    seeds, n = settle(seeds.select("kind", "host", "share"))
     ranks = seeds.select("kind", "host", F.col("share").alias("rank"))
-    for k in range(rounds):
-        moved = (
-            ranks.join(shares, ["kind", "host"]).groupBy("kind", F.col("dst").alias("host"))
-            .agg(F.sum(F.col("rank") * F.col("part") * damping).alias("rank"))
-        )
-        kept = moved.groupBy("kind").agg(F.sum("rank").alias("kept"))
-        back = seeds.join(kept, "kind", "left").select(
+    for _ in range(rounds):
+        moved = shares.join(small(ranks, n), ["kind", "host"]).select("kind", F.col("dst").alias("host"), (F.col("rank") * F.col("part") * damping).alias("rank"))
+        # what hosts with links pass on; the rest of each kind's mass, one row a kind, returns to the seeds
+        kept = ranks.join(small(*linking), ["kind", "host"]).groupBy("kind").agg(F.sum(F.col("rank") * damping).alias("kept"))
+        back = seeds.join(F.broadcast(kept), "kind", "left").select(
             "kind", "host", (F.col("share") * (1 - F.coalesce("kept", F.lit(0.0)))).alias("rank")
         )
-        ranks = moved.unionByName(back).groupBy("kind", "host").agg(F.sum("rank").alias("rank"))
-        if k % EACH == EACH - 1 and k < rounds - 1:
-            ranks = cut(ranks)
+        ranks, n = settle(moved.unionByName(back).groupBy("kind", "host").agg(F.sum("rank").alias("rank")))
     return ranks
 
 

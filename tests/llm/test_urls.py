@@ -1,4 +1,4 @@
-from dialoom.llm.urls import RULES, Rule, filter_urls, host_of, judge_hosts, path_of
+from dialoom.llm.urls import ROUNDS, RULES, Rule, filter_urls, host_of, judge_hosts, path_of
 
 from pyspark.sql import functions as F
 
@@ -24,7 +24,7 @@ def test_rules(spark):
         assert got[i].rule == name and (verdict is None or got[i].verdict == verdict)
 
 
-def brute(hosts, links, seeds, damping=0.85, rounds=16):
+def brute(hosts, links, seeds, damping=0.85, rounds=ROUNDS):
     total = sum(seeds.values())
     start = {h: n / total for h, n in seeds.items()}
     out = {h: sum(w for (s, _), w in links.items() if s == h) for h in hosts}
