@@ -276,7 +276,7 @@ def echo_replies(spark, d):
 
 
 def embed_documents(spark, d):
-    rows = table(spark, d, "documents").select("doc_id", F.substring("text", 1, 50).alias("t"))
+    rows = table(spark, d, "documents").select("doc_id", F.col("text").alias("t"))
     done = models.apply_model(rows, models.hash_embedder(8), ["t"], T.StructField("v", T.ArrayType(T.DoubleType())))
     norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))
     return done.select("doc_id", F.round(norm, 6).alias("norm"), F.size("v").cast("long").alias("width"), "error")

@@ -57,6 +57,19 @@ def test_apply_model_keeps_rows_and_logs(spark):
     assert all(r.success and r.model == "m" for r in log) and sum(r.prompt_chars for r in log) == 1
 
 
+def test_embedder_sees_whole_documents(spark, tmp_path, monkeypatch):
+    from dialoom.plans import dialog_queries
+
+    texts = ["a" * 50 + tail for tail in ("", " one", " two")] + ["é " * 3000 + "end", None]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    made, apply = [], models.apply_model
+    monkeypatch.setattr(models, "apply_model", lambda *a, **b: made.append(apply(*a, **b)) or made[-1])
+    assert dialog_queries.embed_documents(spark, str(tmp_path)).count() == len(texts)
+    want = models.hash_embedder(8)()([(t,) for t in texts])
+    assert {r.doc_id: r.v for r in made[0].collect()} == dict(enumerate(want))
+    assert len({tuple(v) for v in want}) == len(texts)
+
+
 def test_exit_codes():
     assert [gates.text_gate_exit(*a) for a in ((3, 0, True), (0, 0, True), (0, 0, False), (3, 1, True))] == [2, 1, 0, 0]
     assert gates.audio_gate_exit() == 0 and gates.audio_gate_exit(False) == 1
