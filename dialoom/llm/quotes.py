@@ -2,12 +2,13 @@
 
 A line's quote level is the number of ``>`` in front of it. Lines of one level in a row are a passage; its text and each
 of its lines are normalised and hashed, as are the own text and lines of every message. A passage belongs to the last
-earlier message of its conversation that shares its hash, lines standing in for passages that quote in part; the message
-that most hashes name is the parent. Threads follow from the parents by pointer doubling.
+earlier message of its conversation that shares its hash, lines standing in for passages that quote in part. The parent is
+the message that most hashes name, where a hash that n earlier messages share counts an nth. Threads follow from the parents by pointer doubling.
 
 Defined cases: null and empty texts quote nothing and are quoted by nothing; a null conversation or turn links with
 nothing and is a thread of its own; rows that repeat a conversation and turn are one message in links and stay rows; lines
-under MIN_WORDS words are too common to name a message; an input column named like an output is replaced, others are kept.
+of any length name a message, those that more earlier messages share weigh less; an input column named like an output is
+replaced, others are kept.
 """
 
 from __future__ import annotations
@@ -20,7 +21,8 @@ from pyspark.sql import types as T
 
 from .common import cut, table
 
-MIN_WORDS = 3
+#: The vote of a hash that one earlier message has; where n have it, it is an nth.
+VOTE = 1_000_000
 _MARK = re.compile(r"(?:[ \t]*>)+ ?")
 #: Lines that announce a quote; fixed words of the four languages.
 _ANNOUNCES = re.compile(r"(?i)\b(wrote|writes|said|schrieb|schreibt|a écrit|écrit|escribió|escribe)\b.*:\s*$")
@@ -51,9 +53,8 @@ def parse(text: str | None) -> tuple[str, list[tuple[int, str]]]:
 
 
 def names(text: str) -> set[str]:
-    """The normalised text and lines that can name a message."""
-    lines = {normal(text), *map(normal, text.split("\n"))}
-    return {x for x in lines if x.count(" ") >= MIN_WORDS - 1}
+    """The normalised text and lines that can name a message: all but empty ones."""
+    return {normal(text), *map(normal, text.split("\n"))} - {""}
 
 
 def link_quotes(df: DataFrame, conv: str = "conv_id", turn: str = "turn", text: str = "text") -> DataFrame:
@@ -67,7 +68,7 @@ def link_quotes(df: DataFrame, conv: str = "conv_id", turn: str = "turn", text:
         import pyarrow as pa
         import xxhash
 
-        code = lambda found: sorted({xxhash.xxh3_64_intdigest(x) - (1 << 63) for x in found})
+        code = lambda x: xxhash.xxh3_64_intdigest(x) - (1 << 63)
         for batch in batches:
             own, counts, mine, quoted = [], [], [], []
             for value in batch.column(at):
@@ -75,10 +76,10 @@ def link_quotes(df: DataFrame, conv: str = "conv_id", turn: str = "turn", text:
                 clean, passages = parse(raw)
                 own.append(None if raw is None else clean)
                 counts.append(len(passages))
-                mine.append(code(names(clean)))
-                quoted.append(code(set().union(*(names(p) for _, p in passages))))
+                mine.append(sorted(map(code, names(clean))))
+                quoted.append(sorted(map(code, set().union(*(names(p) for _, p in passages)))))
             columns = [pa.array(own, pa.string()) if i == at else batch.column(i) for i in range(len(fields))]
-            columns += [pa.array(counts, pa.int64()), pa.array(mine, pa.list_(pa.int64())), pa.array(quoted, pa.list_(pa.int64()))]
+            columns += [pa.array(counts, pa.int64()), *(pa.array(x, pa.list_(pa.int64())) for x in (mine, quoted))]
             yield pa.RecordBatch.from_arrays(columns, schema.names)
 
     parsed = df.select(*[f.name for f in fields]).mapInArrow(split, schema)
@@ -88,13 +89,14 @@ def link_quotes(df: DataFrame, conv: str = "conv_id", turn: str = "turn", text:
     asked = quoted.select("c", "h").distinct()
     own = parsed.select(c.alias("c"), t.alias("t"), F.explode("_own").alias("h")).join(asked, ["c", "h"], "left_semi").distinct()
     # each quoted hash with the last earlier message that has it: ordered together, no pairs are made
-    both = own.select("c", "h", "t", F.col("t").alias("from")).unionByName(quoted.select("c", "h", "t", F.lit(None).cast(parsed.schema[turn].dataType).alias("from")))
+    both = own.select("c", "h", "t", F.col("t").alias("from")).unionByName(quoted.select("c", "h", "t"), allowMissingColumns=True)
     from pyspark.sql import Window
 
     before = Window.partitionBy("c", "h").orderBy("t").rangeBetween(Window.unboundedPreceding, -1)
-    named = both.withColumn("source", F.max("from").over(before)).filter("from is null and source is not null")
-    votes = named.groupBy("c", "t", "source").agg(F.count(F.lit(1)).alias("n"))
-    parents = cut(votes.groupBy("c", "t").agg(F.max(F.struct("n", "source")).alias("best")).select("c", "t", F.col("best.source").alias("up")))
+    named = both.withColumns({"source": F.max("from").over(before), "n": F.count("from").over(before)}).filter("from is null and source is not null")
+    votes = named.groupBy("c", "t", "source").agg(F.sum(F.expr(f"{VOTE} div n")).alias("n"))
+    best = F.max(F.struct("n", "source")).alias("best")
+    parents = cut(votes.groupBy("c", "t").agg(best).select("c", "t", F.col("best.source").alias("up")))
     threads = follow(parents)
     out = parsed.drop("_own", "_quoted").join(
         threads.select(F.col("c").alias("_c"), F.col("t").alias("_t"), F.col("parent").alias("parent_turn"), "depth", F.col("root").alias("thread")),

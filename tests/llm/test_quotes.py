@@ -36,3 +36,13 @@ def test_long_chain(spark):
     rows = [(7, k, (f"> this is message number {k - 1} of many\n" if k else "") + f"this is message number {k} of many") for k in range(40)]
     got = link_quotes(spark.createDataFrame(rows, "conv_id long, turn long, text string")).collect()
     assert {r.turn: (r.depth, r.thread) for r in got} == {k: (k, 0) for k in range(40)}
+
+
+def test_short_and_unspaced_quotes(spark):
+    """A message is named by its words however few, and by lines without blanks; lines that many share weigh less."""
+    rows = [
+        (1, 0, "Yes please"), (1, 1, "今天天气很好\n我们去公园吧"), (1, 2, "OK"), (1, 3, "OK\nNo"),
+        (1, 4, "> Yes please\nof course"), (1, 5, "> 我们去公园吧\n好"), (1, 6, "> OK\n> 今天天气很好\nand both"),
+    ]
+    got = link_quotes(spark.createDataFrame(rows, "conv_id long, turn long, text string")).collect()
+    assert {r.turn: r.parent_turn for r in got} == {0: None, 1: None, 2: None, 3: None, 4: 0, 5: 1, 6: 1}
