@@ -3,7 +3,8 @@
 A line's quote level is the number of ``>`` in front of it. Lines of one level in a row are a passage; its text and each
 of its lines are normalised and hashed, as are the own text and lines of every message. A passage belongs to the last
 earlier message of its conversation that shares its hash, lines standing in for passages that quote in part. The parent is
-the message that most hashes name, where a hash that n earlier messages share counts an nth. Threads follow from the parents by pointer doubling.
+the message that the hashes of the shallowest level name that names any, by their
+number, where a hash that n earlier messages share counts an nth. Threads follow from the parents by pointer doubling.
 
 Defined cases: null and empty texts quote nothing and are quoted by nothing; a null conversation or turn links with
 nothing and is a thread of its own; rows that repeat a conversation and turn are one message in links and stay rows; lines
@@ -57,11 +58,20 @@ def names(text: str) -> set[str]:
     return {normal(text), *map(normal, text.split("\n"))} - {""}
 
 
+def quoted_names(passages: list[tuple[int, str]]) -> dict[str, int]:
+    """The names that passages hold, with the shallowest level that has each."""
+    found: dict[str, int] = {}
+    for level, text in passages:
+        for name in names(text):
+            found[name] = min(level, found.get(name, level))
+    return found
+
+
 def link_quotes(df: DataFrame, conv: str = "conv_id", turn: str = "turn", text: str = "text") -> DataFrame:
     """The rows with own text in ``text``, and ``n_quotes``, ``parent_turn``, ``depth`` and ``thread`` (first turn)."""
-    fields = [f for f in df.schema if f.name not in ("n_quotes", "_own", "_quoted", "parent_turn", "depth", "thread")]
+    fields = [f for f in df.schema if f.name not in ("n_quotes", "_own", "_quoted", "_levels", "parent_turn", "depth", "thread")]
     listed = T.ArrayType(T.LongType())
-    schema = T.StructType([*fields, T.StructField("n_quotes", T.LongType()), T.StructField("_own", listed), T.StructField("_quoted", listed)])
+    schema = T.StructType([*fields, T.StructField("n_quotes", T.LongType()), T.StructField("_own", listed), T.StructField("_quoted", listed), T.StructField("_levels", listed)])
     at = [f.name for f in fields].index(text)
 
     def split(batches):
@@ -70,32 +80,35 @@ def link_quotes(df: DataFrame, conv: str = "conv_id", turn: str = "turn", text:
 
         code = lambda x: xxhash.xxh3_64_intdigest(x) - (1 << 63)
         for batch in batches:
-            own, counts, mine, quoted = [], [], [], []
+            own, counts, mine, quoted, levels = [], [], [], [], []
             for value in batch.column(at):
                 raw = value.as_py()
                 clean, passages = parse(raw)
                 own.append(None if raw is None else clean)
                 counts.append(len(passages))
                 mine.append(sorted(map(code, names(clean))))
-                quoted.append(sorted(map(code, set().union(*(names(p) for _, p in passages)))))
+                asked = quoted_names(passages)
+                quoted.append([code(x) for x in asked])
+                levels.append(list(asked.values()))
             columns = [pa.array(own, pa.string()) if i == at else batch.column(i) for i in range(len(fields))]
-            columns += [pa.array(counts, pa.int64()), *(pa.array(x, pa.list_(pa.int64())) for x in (mine, quoted))]
+            columns += [pa.array(counts, pa.int64()), *(pa.array(x, pa.list_(pa.int64())) for x in (mine, quoted, levels))]
             yield pa.RecordBatch.from_arrays(columns, schema.names)
 
     parsed = df.select(*[f.name for f in fields]).mapInArrow(split, schema)
     c, t = F.col(conv), F.col(turn)
-    quoted = parsed.filter(F.size("_quoted") > 0).select(c.alias("c"), t.alias("t"), F.explode("_quoted").alias("h"))
-    quoted = quoted.filter("c is not null and t is not null").distinct()
+    each = F.explode(F.arrays_zip(F.col("_quoted").alias("h"), F.col("_levels").alias("level"))).alias("x")
+    quoted = parsed.filter(F.size("_quoted") > 0).select(c.alias("c"), t.alias("t"), each)
+    quoted = quoted.filter("c is not null and t is not null").groupBy("c", "t", F.col("x.h").alias("h")).agg(F.min("x.level").alias("level"))
     asked = quoted.select("c", "h").distinct()
     own = parsed.select(c.alias("c"), t.alias("t"), F.explode("_own").alias("h")).join(asked, ["c", "h"], "left_semi").distinct()
     # each quoted hash with the last earlier message that has it: ordered together, no pairs are made
-    both = own.select("c", "h", "t", F.col("t").alias("from")).unionByName(quoted.select("c", "h", "t"), allowMissingColumns=True)
+    both = own.select("c", "h", "t", F.col("t").alias("from")).unionByName(quoted.select("c", "h", "t", "level"), allowMissingColumns=True)
     from pyspark.sql import Window
 
     before = Window.partitionBy("c", "h").orderBy("t").rangeBetween(Window.unboundedPreceding, -1)
     named = both.withColumns({"source": F.max("from").over(before), "n": F.count("from").over(before)}).filter("from is null and source is not null")
-    votes = named.groupBy("c", "t", "source").agg(F.sum(F.expr(f"{VOTE} div n")).alias("n"))
-    best = F.max(F.struct("n", "source")).alias("best")
+    votes = named.groupBy("c", "t", "level", "source").agg(F.sum(F.expr(f"{VOTE} div n")).alias("n"))
+    best = F.max(F.struct((-F.col("level")).alias("level"), "n", "source")).alias("best")
     parents = cut(votes.groupBy("c", "t").agg(best).select("c", "t", F.col("best.source").alias("up")))
     threads = follow(parents)
     out = parsed.drop("_own", "_quoted").join(

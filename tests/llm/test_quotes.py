@@ -46,3 +46,15 @@ def test_short_and_unspaced_quotes(spark):
     ]
     got = link_quotes(spark.createDataFrame(rows, "conv_id long, turn long, text string")).collect()
     assert {r.turn: r.parent_turn for r in got} == {0: None, 1: None, 2: None, 3: None, 4: 0, 5: 1, 6: 1}
+
+
+def test_shallowest_level_names_the_parent(spark):
+    rows = [
+        (1, 0, "line one of zero\nline two of zero\nline three of zero"),
+        (1, 1, "> line one of zero\nthe answer of one"),
+        (1, 2, "> the answer of one\n>> line one of zero\n>> line two of zero\n>> line three of zero\nnested reply"),
+        (1, 3, "> a line that nobody wrote\n>> nested reply\nonly the deeper one is known"),
+        (1, 4, ">> the answer of one\n> nested reply\n>> the answer of one\nboth"),
+    ]
+    got = link_quotes(spark.createDataFrame(rows, "conv_id long, turn long, text string")).collect()
+    assert {r.turn: (r.parent_turn, r.depth) for r in got} == {0: (None, 0), 1: (0, 1), 2: (1, 2), 3: (2, 3), 4: (2, 3)}
