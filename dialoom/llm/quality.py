@@ -1,7 +1,8 @@
 """Quality rules: a threshold table compiled into one projection of built-in expressions.
 
-Defined cases: null and empty texts have no words, so every count is 0 and they fail; repeated rows are judged
-one by one; an input column named like an output is replaced; every other column is kept.
+Defined cases: null and empty texts have no words, so every count is 0 and they fail; texts of any length are counted
+whole; repeated rows and ids are judged one by one, and a metric that equals its bound passes; an empty table gives an
+empty one; an input column named like an output is replaced, every other column is kept.
 """
 
 from __future__ import annotations
@@ -43,6 +44,8 @@ RULES = (
     Rule("line_length", "n_words / greatest(n_lines, 1)", least=1.2),
 )
 _INDEX_BITS = 21
+#: Bits of a window's hash that are used; windows of equal hash are compared word by word.
+_HASH_MASK = -1
 
 
 def _repeat_words(words: Column) -> Column:
@@ -57,7 +60,8 @@ def _repeat_words(words: Column) -> Column:
 
     def window_hash(i: Column) -> Column:
         i = i.cast("int")
-        return F.xxhash64(at(words, i), at(words, i + 1), at(words, i + 2))
+        made = F.xxhash64(at(words, i), at(words, i + 1), at(words, i + 2))
+        return made if _HASH_MASK == -1 else made.bitwiseAND(F.lit(_HASH_MASK))
 
     def same(i: Column, j: Column) -> Column:
         i, j = i.cast("int"), j.cast("int")
@@ -74,7 +78,13 @@ def _repeat_words(words: Column) -> Column:
         def twin(x: Column, y: Column) -> Column:
             return (key(x) == key(y)) & same(index(x), index(y))
 
-        dup = F.filter(ordered, lambda x, i: twin(x, at(ordered, i - 1)) | twin(x, at(ordered, i + 1)))
+        def meets(x: Column, i: Column) -> Column:
+            """Whether a neighbour has the hash of x and other words: then the whole run of the hash is looked through."""
+            clash = (key(x) == key(at(ordered, i - 1))) | (key(x) == key(at(ordered, i + 1)))
+            return clash & F.exists(ordered, lambda y: (index(x) != index(y)) & twin(x, y))
+
+        near = lambda x, i: twin(x, at(ordered, i - 1)) | twin(x, at(ordered, i + 1))
+        dup = F.filter(ordered, lambda x, i: F.coalesce(near(x, i), F.lit(False)) | F.coalesce(meets(x, i), F.lit(False)))
         return let(F.sort_array(F.transform(dup, lambda x: index(x).cast("int"))), reach)
 
     mask = (1 << _INDEX_BITS) - 1
@@ -98,40 +108,44 @@ def _repeat_words(words: Column) -> Column:
     )
 
 
-def metrics(text: Column, stop_words=STOP_WORDS) -> Column:
-    """A struct of the counts of a text."""
+#: What ``measured`` adds.
+COUNTS = ("n_words", "word_chars", "n_symbols", "n_exclaims", "n_stop_words", "n_lines", "n_dup_lines", "n_repeat_words")
+OUTPUTS = (*COUNTS, "failed_rules", "base_failed", "kept")
+
+
+def measured(df: DataFrame, text: str, stop_words=STOP_WORDS) -> DataFrame:
+    """The columns of ``df``, none of them named like a count, and the counts of each text.
+
+    A generator of one row makes the counts. Filters on them stay above it; a projection's expressions would be copied
+    into every filter that names them and evaluated once more for each.
+    """
     forms = sorted({form for w in stop_words for form in (w, w.capitalize())})
-    filled = F.coalesce(text, F.lit(""))
+    filled = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     lines = F.filter(F.split(filled, "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
 
     def counts(words: Column) -> Column:
-        return F.struct(
-            F.size(words).cast("long").alias("n_words"),
-            F.length(F.array_join(words, "")).cast("long").alias("word_chars"),
-            F.regexp_count(filled, F.lit("[#*$%&|<>]")).cast("long").alias("n_symbols"),
-            F.regexp_count(filled, F.lit("!")).cast("long").alias("n_exclaims"),
-            F.size(F.filter(words, lambda w: w.isin(forms))).cast("long").alias("n_stop_words"),
-            let(
-                lines,
-                lambda found: F.struct(
-                    F.size(found).cast("long").alias("n"), F.size(F.array_distinct(found)).cast("long").alias("d")
-                ),
-            ).alias("lines"),
-            _repeat_words(words).alias("n_repeat_words"),
-        )
+        made = {
+            "n_words": F.size(words),
+            "word_chars": F.length(F.array_join(words, "")),
+            "n_symbols": F.regexp_count(filled, F.lit("[#*$%&|<>]")),
+            "n_exclaims": F.regexp_count(filled, F.lit("!")),
+            "n_stop_words": F.size(F.filter(words, lambda w: w.isin(forms))),
+            "lines": let(lines, lambda found: F.struct(F.size(found).alias("n"), F.size(F.array_distinct(found)).alias("d"))),
+            "n_repeat_words": _repeat_words(words),
+        }
+        return F.struct(*[c.alias(n) if n == "lines" else c.cast("long").alias(n) for n, c in made.items()])
+
+    def flat(found: Column) -> Column:
+        own = {"n_lines": found["lines"]["n"], "n_dup_lines": found["lines"]["n"] - found["lines"]["d"]}
+        return F.struct(*[(own[n] if n in own else found[n]).cast("long").alias(n) for n in COUNTS])
 
-    return let(words_of(text), counts)
+    return df.select("*", F.inline(F.transform(F.transform(F.array(words_of(F.col(f"`{text}`"))), counts), flat)))
 
 
 def quality_rules(df: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES, stop_words=STOP_WORDS) -> DataFrame:
     """Adds the counts, ``base_failed``, ``kept`` and ``failed_rules`` (names of the rules that a text breaks)."""
-    measured = df.withColumn("_metrics", metrics(F.col(text), stop_words))
-    at = {
-        name: f"_metrics.{name}"
-        for name in ("n_words", "word_chars", "n_symbols", "n_exclaims", "n_stop_words", "n_repeat_words")
-    } | {"n_lines": "_metrics.lines.n"}
-    measured = measured.withColumns({name: F.col(path) for name, path in at.items()})
-    measured = measured.withColumn("n_dup_lines", F.col("_metrics.lines.n") - F.col("_metrics.lines.d")).drop("_metrics")
+    own = [f"_{i}" for i in range(len(df.columns))]  # no name of an input column can clash with one of an output
+    counted = measured(df.toDF(*own), own[df.columns.index(text)], stop_words)
     broken = []
     for rule in rules:
         value = F.expr(rule.metric).cast("double")
@@ -143,11 +157,9 @@ def quality_rules(df: DataFrame, text: str = "text", rules: tuple[Rule, ...] = R
         broken.append(F.when(fails, F.lit(rule.name)))
     failed = F.array_compact(F.array(*broken)) if broken else F.array().cast("array<string>")
     base = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    return (
-        measured.withColumn("failed_rules", failed)
-        .withColumn("base_failed", base)
-        .withColumn("kept", ~base & (F.size("failed_rules") == 0))
-    )
+    judged = counted.withColumn("failed_rules", failed).withColumn("base_failed", base)
+    judged = judged.withColumn("kept", ~F.col("base_failed") & (F.size("failed_rules") == 0))
+    return judged.select(*[F.col(o).alias(c) for o, c in zip(own, df.columns) if c not in OUTPUTS], *OUTPUTS)
 
 
 def op1_quality_rules(spark, sf_dir):
