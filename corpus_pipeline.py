@@ -15,8 +15,10 @@ from dialoom.llm import mixing, neardup, packing, quality, secrets
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep."""
-    return quality.quality_rules(docs.withColumn("_given", F.struct("*"))).filter("kept").select("_given.*")
+    """Documents that the quality rules keep; a text without words goes, rows that repeat stay as often as they occur."""
+    own = [f"given_{i}" for i in range(len(docs.columns))]
+    judged = quality.quality_rules(docs.toDF(*own), own[docs.columns.index("text")])
+    return judged.filter("kept").select(*own).toDF(*docs.columns)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
