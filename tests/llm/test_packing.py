@@ -69,19 +69,55 @@ def test_empty_table(spark):
     assert pack(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
-def test_chunks_are_the_tokenizers_own(monkeypatch):
-    import random
-
+@pytest.mark.parametrize("merges", [True, False])
+def test_chunks_are_the_tokenizers_own(monkeypatch, merges):
+    import pyarrow as pa
     from tokenizers import Tokenizer
 
     from dialoom.llm import packing
 
+    path = public_tokenizers.path("word_bpe_49k.json")
+    tokenizer, rng = Tokenizer.from_file(path), random.Random(2)
+    chunks = packing.Chunks(tokenizer, path if merges else None)
+    assert (chunks.merges is not None) == merges
     monkeypatch.setattr(packing, "_CACHE", 50)
-    tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
-    chunks, rng = packing.Chunks(tokenizer), random.Random(2)
-    pool = list("aAbBzéÉßİΣσ.,;'!?<|>019 \n\n\t\x01\x85\xa0\u3000\u0301日本") + ["'s", "'LL ", "don't", "<|endoftext|>", ", ", ". ", "The ", "ABC."]
-    texts = ["".join(rng.choices(pool, k=rng.randint(0, 60))) for _ in range(800)]
-    got = [x for low in range(0, 800, 7) for x in packing.token_bytes(texts[low : low + 7], chunks)]
-    for text, ids in zip(texts, got):
-        want = [*tokenizer.encode(text, add_special_tokens=False).ids, 2]
-        assert np.frombuffer(ids, "<u4").tolist() == want, text
+    pool = list("aAbBzéÉßİΣσKŉ.,;:#$!?<|>=019 \n\n\t\x01\x85\xa0\u3000\u0301\u0338×÷日本😀") + ["'s", "'LL ", "don't", "<|endoftext|>", "<|ENDOFTEXT|>", ", ", ". ", "The ", "ABC."]
+    texts = ["".join(rng.choices(pool, k=rng.randint(0, 60))) for _ in range(800)] + ["Straße " * 40 + "x" * 300]
+    want = [[*tokenizer.encode(text, add_special_tokens=False).ids, 2] for text in texts]
+    for size in (1 << 22, 40):  # the second cuts most texts into slices
+        monkeypatch.setattr(packing, "SLICE", size)
+        got = [x.tolist() for low in range(0, len(texts), 7) for x in packing.token_ids(pa.array(texts[low : low + 7]), chunks)]
+        assert got == want
+
+
+def test_words_are_merged_as_the_library_does():
+    from tokenizers import Tokenizer
+
+    from dialoom.llm import packing
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    tokenizer, rng = Tokenizer.from_file(path), random.Random(3)
+    chunks = packing.Chunks(tokenizer, path)
+    words = ["".join(rng.choices("etaoinshrdluéüñß", k=rng.randint(1, 40))) for _ in range(5000)] + [c * n for c in "aeéz" for n in (2, 3, 7, 40)]
+    flat, sizes = chunks.merges.encode([w.encode() for w in words])
+    parts = np.split(flat, np.cumsum(sizes)[:-1])
+    assert [p.tolist() for p in parts] == [e.ids for e in tokenizer.encode_batch(words, add_special_tokens=False)]
+
+
+def test_runs_repeat(spark):
+    rng = random.Random(4)
+    rows = [(i % 90 if i % 5 else None, "word " * rng.randint(0, 40)) for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4).cache()
+    once, again = (sorted(map(tuple, pack(df, packers=3).collect()), key=str) for _ in range(2))
+    assert once == again
+
+
+def test_very_long_text(spark):
+    from tokenizers import Tokenizer
+
+    text = " ".join(f"w{i % 977} Ünder," for i in range(120_000))
+    got = pack(spark.createDataFrame([(1, text)], "doc_id long, text string")).toPandas()
+    ids = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json")).encode(text, add_special_tokens=False).ids
+    assert got.length.sum() == len(ids) + 1 and (got.length == 4096).sum() == (len(ids) + 1) // 4096
+    first = got[got.start == 4096].iloc[0]
+    assert first.ids_crc32 == zlib.crc32(np.array(ids[4096:8192], "<u4").tobytes())
