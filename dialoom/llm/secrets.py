@@ -5,8 +5,10 @@ lists, for the trigrams that some query names, the texts that hold them; interse
 gives the only texts in which its rule can match, and the expression is run on these alone. A rule without a
 mandatory trigram scans every text.
 
-Defined cases: a null text is empty and has no span; a null or repeated id costs no row (a row is verified by its own
-text, its id only chooses candidates); an input column named like an output is replaced, others are kept.
+Defined cases: a null text is empty and has no span; a null or repeated id costs no row (candidates are chosen by a hash of
+id and text); spans with one start are listed in the order of the rules; texts of any length are scanned whole, in time
+that grows with their length; an empty table gives an empty one; an input column named ``secret_spans`` is replaced,
+others are kept.
 """
 
 from __future__ import annotations
@@ -33,7 +35,7 @@ class Rule:
     """``pattern`` is matched leftmost and without overlap; matches shorter than ``least`` are dropped.
 
     ``group`` is the group that ``least`` measures, 0 for the whole match. Letters match in either case where
-    ``fold`` holds.
+    ``fold`` holds. Java's matcher recurses in repeated groups, so a pattern that has one needs a ``scan``.
     """
 
     kind: str
@@ -41,6 +43,9 @@ class Rule:
     least: int = 0
     group: int = 0
     fold: bool = False
+    #: What Java's matcher runs instead: it finds every match of the pattern, without recursion and in linear time;
+    #: what it finds beyond is dropped by matching the pattern against it.
+    scan: str | None = None
 
 
 #: The first three are the base rules in the order that their spans are listed in.
@@ -50,8 +55,14 @@ RULES = (
     Rule("hex", r"[0-9a-f]+", 32),
     Rule("hub", r"gh[opsur]_[A-Za-z0-9]+", 40),
     Rule("chat", r"xox[abprs]-[A-Za-z0-9-]+", 15),
-    Rule("web_token", r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", 40),
-    Rule("key_block", r"-----BEGIN\x20(?:[A-Z]+\x20)*PRIVATE\x20KEY-----", 0),
+    Rule(
+        "web_token", r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", 40,
+        scan=r"eyJ[A-Za-z0-9_-]++(?:\.eyJ[A-Za-z0-9_-]++\.[A-Za-z0-9_-]++)?+",
+    ),
+    Rule(
+        "key_block", r"-----BEGIN\x20(?:[A-Z]+\x20)*PRIVATE\x20KEY-----",
+        scan=r"-----BEGIN\x20(?:(?!PRIVATE\x20KEY-----)[A-Z]++\x20)*+PRIVATE\x20KEY-----",
+    ),
 )
 BASE_KINDS = ("assign", "access", "hex")
 
@@ -141,55 +152,54 @@ def trigram_query(pattern: str, fold: bool = False) -> Query:
     return found and frozenset(x for x in found if not any(y < x for y in found))  # a stricter clause adds nothing
 
 
+def _possessive(rule: Rule) -> str:
+    """Matches what the scan has found if it is a match of the pattern: a part that the scan may leave out must be there."""
+    return f"^(?:{rule.scan.replace('?+', '')})$" if rule.scan.endswith("?+") else f"^(?:{rule.scan})$"
+
+
 def _regex(rule: Rule) -> str:
     return f"(?i){rule.pattern}" if rule.fold else rule.pattern
 
 
+def running(values: Column, combine) -> Column:
+    """What ``combine``, an associative function, makes of all elements up to each one; doubles its reach each round.
+
+    A fold that appends to an array copies it at every step; this takes n log n steps in all.
+    """
+    last = F.greatest(F.lit(0), F.ceil(F.log2(F.size(values).cast("double"))) - 1).cast("int")
+
+    def further(a: Column, k: Column) -> Column:
+        return F.transform(a, lambda x, i: combine(x, F.get(a, i - F.call_function("shiftleft", F.lit(1), k))))
+
+    return F.when(F.size(values) > 1, F.aggregate(F.sequence(F.lit(0), F.coalesce(last, F.lit(0))), values, further)).otherwise(values)
+
+
 def _spans(text: Column, rule: Rule, order: int) -> Column:
     """Structs (start, kind order, end) of a rule's matches, in code points.
 
     Splitting by the pattern gives what lies between the matches, so that running sums of both place each match.
     """
-    regex = F.lit(_regex(rule))
-    gaps = F.transform(F.split(text, _regex(rule), -1), lambda x: F.length(x))
-    sizes = F.transform(F.regexp_extract_all(text, regex, 0), lambda x: F.length(x))
-    measured = sizes if rule.group == 0 else F.transform(F.regexp_extract_all(text, regex, rule.group), lambda x: F.length(x))
+    regex = _regex(rule) if rule.scan is None else rule.scan
+    measured = F.regexp_extract_all(text, F.lit(regex), rule.group) if rule.group else None
     empty = F.array().cast("array<struct<start:int,kind:int,end:int>>")
 
     def place(found: Column) -> Column:
-        folded = F.aggregate(
-            F.arrays_zip(found["size"], found["measure"], found["gap"]),
-            F.struct(F.lit(0).alias("at"), empty.alias("spans")),
-            lambda s, x: F.struct(
-                (s["at"] + x["gap"] + x["size"]).alias("at"),
-                F.when(
-                    x["measure"] >= rule.least,
-                    F.concat(
-                        s["spans"],
-                        F.array(
-                            F.struct(
-                                (s["at"] + x["gap"]).alias("start"),
-                                F.lit(order).alias("kind"),
-                                (s["at"] + x["gap"] + x["size"]).alias("end"),
-                            )
-                        ),
-                    ),
-                )
-                .otherwise(s["spans"])
-                .alias("spans"),
-            ),
-        )
-        return folded["spans"]
-
-    found = let(
-        F.struct(sizes.alias("size"), measured.alias("measure"), gaps.alias("gap")),
-        lambda f: place(
-            F.struct(
-                f["size"].alias("size"), f["measure"].alias("measure"), F.slice(f["gap"], 1, F.size(f["size"])).alias("gap")
-            )
-        ),
-    )
-    return F.when(F.regexp_like(text, regex), found).otherwise(empty)
+        steps = F.transform(found["match"], lambda x, i: F.length(x) + F.length(F.get(found["gap"], i)))
+        return let(running(steps, lambda x, y: x + F.coalesce(y, F.lit(0))), lambda ends: listed(found, ends))
+
+    def listed(found: Column, ends: Column) -> Column:
+        def span(x: Column, i: Column) -> Column:
+            holds = F.length(x if rule.group == 0 else F.get(found["measure"], i)) >= rule.least
+            if rule.scan is not None:
+                holds = holds & x.rlike(_possessive(rule))
+            start = F.get(ends, i) - F.length(x)
+            return F.when(holds, F.struct(start.alias("start"), F.lit(order).alias("kind"), F.get(ends, i).alias("end")))
+
+        return F.filter(F.transform(found["match"], span), lambda x: x.isNotNull())
+
+    parts = [F.regexp_extract_all(text, F.lit(regex), 0).alias("match"), F.split(text, regex, -1).alias("gap")]
+    parts += [measured.alias("measure")] if measured is not None else []
+    return F.when(F.regexp_like(text, F.lit(regex)), let(F.struct(*parts), place)).otherwise(empty)
 
 
 def _tight(rule: Rule) -> Rule:
@@ -235,45 +245,65 @@ def secret_scan(
     df: DataFrame, key: str = "doc_id", text: str = "text", rules: tuple[Rule, ...] = RULES
 ) -> DataFrame:
     """Adds ``secret_spans``: structs (kind, start, end) of all rules, by start and then rule order."""
-    keyed = df.withColumn("_key", F.xxhash64(F.col(key), F.length(F.col(text))))
-    found = candidates(keyed, "_key", text, rules).withColumnRenamed("rules", "_rules")
-    joined = keyed.join(found, "_key", "left").drop("_key")
-    filled = F.coalesce(F.col(text), F.lit(""))
+    names = [f"_{i}" for i in range(len(df.columns))]  # no name of an input column can clash with one of these
+    own = dict(zip(df.columns, names))
+    id_column, text_column = own[key], own[text]
+    keyed = df.toDF(*names).withColumn("scan_key", F.xxhash64(id_column, text_column))
+    found = candidates(keyed, "scan_key", text_column, rules)
+    joined = keyed.join(found, "scan_key", "left").withColumn("filled", F.coalesce(F.col(text_column), F.lit("")))
     empty = F.array().cast("array<struct<start:int,kind:int,end:int>>")
     parts = []
     for order, rule in enumerate(rules):
-        spans = _spans(F.col("_text"), _tight(rule), order)
+        spans = _spans(F.col("filled"), _tight(rule), order)
         if trigram_query(rule.pattern, rule.fold) is not None:
-            spans = F.when(F.array_contains("_rules", order), spans).otherwise(empty)
+            spans = F.when(F.array_contains("rules", order), spans).otherwise(empty)
         parts.append(spans)
-    names = F.array(*[F.lit(r.kind) for r in rules])
+    kinds = F.array(*[F.lit(r.kind) for r in rules])
     listed = F.transform(
         F.array_sort(F.concat(*parts)),
-        lambda x: F.struct(F.get(names, x["kind"]).alias("kind"), x["start"].alias("start"), x["end"].alias("end")),
+        lambda x: F.struct(F.get(kinds, x["kind"]).alias("kind"), x["start"].alias("start"), x["end"].alias("end")),
     )
-    return joined.withColumn("_text", filled).withColumn("secret_spans", listed).drop("_text", "_rules")
+    kept = [F.col(n).alias(c) for c, n in own.items() if c != "secret_spans"]
+    return joined.select(*kept, listed.alias("secret_spans"))
 
 
 def spans_text(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
 
 
+#: Code points in a block of a text that is redacted.
+_BLOCK = 4096
+
+
+def _cut_out(blocks: Column, begin: Column, end: Column) -> Column:
+    """The code points from ``begin`` to ``end`` of a text in blocks; reads its own blocks only."""
+    first, last = F.floor(begin / _BLOCK).cast("int"), F.floor((end - 1) / _BLOCK).cast("int")
+    head = F.get(blocks, first).substr((begin % _BLOCK) + 1, F.least(end - begin, F.lit(_BLOCK)))
+    middle = F.when(last > first + 1, F.array_join(F.slice(blocks, first + 2, F.greatest(last - first - 1, F.lit(0))), "")).otherwise("")
+    tail = F.get(blocks, last).substr(F.lit(1), ((end - 1) % _BLOCK) + 1)
+    return F.when(end <= begin, "").when(first == last, head).otherwise(F.concat(head, middle, tail))
+
+
 def redact(df: DataFrame, text: str = "text", mask: str = "[secret]") -> DataFrame:
-    """The texts with every span of ``secret_spans`` replaced by the mask; overlapping spans become one."""
-    empty = F.lit("")
-
-    def step(s: Column, x: Column) -> Column:
-        inside = x["start"] < s["at"]
-        return F.struct(
-            F.greatest(s["at"], x["end"]).alias("at"),
-            F.when(inside, s["out"])
-            .otherwise(F.concat(s["out"], F.col(text).substr(s["at"] + 1, x["start"] - s["at"]), F.lit(mask)))
-            .alias("out"),
+    """The texts with every span of ``secret_spans`` replaced by the mask; overlapping spans become one.
+
+    A null text stays null. The text is read in blocks, so that many spans of a very long text take no longer a span.
+    """
+    whole, spans = F.col(f"`{text}`"), F.col("secret_spans")
+
+    def clean(found: Column) -> Column:
+        ends, blocks = found["ends"], found["blocks"]
+        before = lambda i: F.coalesce(F.get(ends, i - 1), F.lit(0))
+        parts = F.transform(
+            spans,
+            lambda x, i: F.when(x["start"] >= before(i), F.concat(_cut_out(blocks, before(i), x["start"]), F.lit(mask))),
         )
+        return F.concat(F.array_join(parts, ""), _cut_out(blocks, F.element_at(ends, -1), F.length(whole)))
 
-    done = F.aggregate("secret_spans", F.struct(F.lit(0).alias("at"), empty.alias("out")), step)
-    clean = let(done, lambda d: F.concat(d["out"], F.col(text).substr(d["at"] + 1, F.length(F.col(text)))))
-    return df.withColumn(text, F.when(F.size("secret_spans") > 0, clean).otherwise(F.col(text)))
+    ends = running(F.transform(spans, lambda x: x["end"]), lambda x, y: F.greatest(x, y))
+    blocks = F.regexp_extract_all(whole, F.lit(f"(?s).{{1,{_BLOCK}}}+"), 0)
+    made = let(F.struct(ends.alias("ends"), blocks.alias("blocks")), clean)
+    return df.withColumn(text, F.when(F.size(spans) > 0, made).otherwise(whole))
 
 
 def op7_secret_scan(spark, sf_dir):
