@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
+import uuid
 from collections.abc import Callable
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,20 +30,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """The rows written to the shared checkpoint folder, so that later reads survive lost executors.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that ``spark.checkpoint.dir`` names. Only a local session may go without one."""
+    context = spark.sparkContext
+    named = context.getConf().get("spark.checkpoint.dir")
+    if not named:
+        if not context.master.startswith("local[") and context.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        if id(context) not in _LOCAL:
+            _LOCAL[id(context)] = tempfile.mkdtemp(prefix="checkpoints-")
+            atexit.register(shutil.rmtree, _LOCAL[id(context)], ignore_errors=True)
+        named = _LOCAL[id(context)]
+    return named.rstrip("/")
 
-    The folder is the one that ``spark.checkpoint.dir`` names. Only a local session may go without one.
-    """
+
+_LOCAL: dict[int, str] = {}
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """The rows written to the shared checkpoint folder, so that later reads survive lost executors."""
     spark = df.sparkSession
-    context = spark.sparkContext
-    if not context._jsc.sc().getCheckpointDir().isDefined():
-        named = context.getConf().get("spark.checkpoint.dir")
-        if not named:
-            if not context.master.startswith("local[") and context.master != "local":
-                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-            named = tempfile.mkdtemp(prefix="checkpoints-")
-        context.setCheckpointDir(named)
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))
     done = df.checkpoint(eager=True)
     # A checkpoint keeps its plan's estimated size, and joins multiply estimates: in a loop they outgrow any number.
     # The same rows without an estimate leave the choice of joins to what adaptive execution measures.
@@ -47,8 +59,28 @@ def cut(df: DataFrame) -> DataFrame:
     return DataFrame(spark._jsparkSession.internalCreateDataFrame(rows, done._jdf.schema(), False), spark)
 
 
-#: Rows of a few numbers that one task takes, and that a broadcast may hold: counted first, some ten megabytes at most.
-ROWS, BROADCAST = 100_000, 400_000
+@contextmanager
+def shelf(spark: SparkSession):
+    """A function that writes rows as a table in buckets of a key, in the shared folder, and reads it; gone afterwards.
+
+    Joins on the key read the buckets as they lie and shuffle the other side only.
+    """
+    name = f"shelf_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{shared_folder(spark)}/{name}'")
+
+    def put(df: DataFrame, key: str) -> DataFrame:
+        place = f"{name}.t{uuid.uuid4().hex}"
+        df.write.format("parquet").bucketBy(partitions(spark), key).saveAsTable(place)
+        return spark.table(place)
+
+    try:
+        yield put
+    finally:
+        spark.sql(f"DROP DATABASE {name} CASCADE")
+
+
+#: Rows of a few numbers that one task takes, and that a broadcast may hold: counted first, a few megabytes at most.
+ROWS, BROADCAST = 100_000, 100_000
 
 
 def settle(df: DataFrame) -> tuple[DataFrame, int]:
@@ -106,13 +138,13 @@ def forest(batches):
 EDGES = 200_000
 
 
-def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """(node, component_id) of every node with an edge; the id is the smallest node reachable.
 
     Each task first replaces its edges by a spanning forest. Where they are few enough for one task, that is the
     answer. Beyond, large-star and small-star rounds hang neighbours under the smallest one, so a chain of n nodes
     needs about log n rounds and no task ever holds a whole component. Each round is checkpointed and a round that
-    changes no edge ends the loop.
+    changes no edge ends the loop: every other one hangs some node under a smaller one, so the rounds are finite.
     """
     pairs = edges.select(F.col("a").cast("long"), F.col("b").cast("long")).filter("a <> b")
     pairs = cut(pairs.mapInArrow(forest, "a long, b long"))
@@ -121,7 +153,7 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         tasks = -(-pairs.count() // EDGES)
         pairs = cut(pairs.coalesce(max(tasks, 1)).mapInArrow(forest, "a long, b long"))
     if tasks > 1:
-        pairs = _stars(pairs, rounds)
+        pairs = _stars(pairs)
         members = pairs.groupBy("a").agg(F.min("b").alias("component_id")).withColumnRenamed("a", "node")
     else:  # a forest hangs every node under the smallest of its tree
         members = pairs.select(F.col("b").alias("node"), F.col("a").alias("component_id"))
@@ -130,9 +162,9 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     return members.unionByName(roots)
 
 
-def _stars(pairs: DataFrame, rounds: int) -> DataFrame:
+def _stars(pairs: DataFrame) -> DataFrame:
     seen = None
-    for _ in range(rounds):
+    while True:
         both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         large = both.join(low, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
@@ -144,8 +176,5 @@ def _stars(pairs: DataFrame, rounds: int) -> DataFrame:
         pairs = cut(small.unionByName(hung).distinct())
         now = pairs.agg(F.count(F.lit(1)), F.expr("bit_xor(xxhash64(a, b))")).first()
         if tuple(now) == seen:
-            break
+            return pairs
         seen = tuple(now)
-    else:
-        raise RuntimeError("components did not settle")
-    return pairs
