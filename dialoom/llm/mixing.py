@@ -5,20 +5,24 @@ documents that the source has. A document's number of copies inverts the Poisson
 that a seeded hash of its id fixes, so that the same seed gives the same mix on every run and cluster.
 
 Defined cases: a null source is a source of its own; a null id hashes as an empty one; repeated rows get the same
-number of copies each; an empty table gives none; an input column named like an output is replaced, others are kept.
+number of copies each, ties in the order are equal rows or rows without id; texts are carried whole, whatever their
+length; an empty table gives none; an input column named like an output is replaced, others are kept.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import table
+from .common import settle, table
 
 #: A mean over this is drawn as a sum of as many equal parts, so that exp(-mean) does not vanish.
 PART = 16.0
 #: Points of a part's distribution that are searched; beyond, its tail is below 1e-16.
 TAIL = 80
+#: Sources, and characters of their names, up to which their rates are broadcast.
+SOURCES, NAMES = 200_000, 8_000_000
 
 
 def _point(seed: int, key: Column, part: Column) -> Column:
@@ -75,19 +79,33 @@ def mix_sources(
     seed: int = 7,
     shuffled: bool = True,
 ) -> DataFrame:
-    """The copies of the documents, in an order that the seed fixes, with ``rate``, ``copies`` and ``copy`` (from 0).
+    """The copies of the documents, dealt and ordered by a hash that the seed fixes, with ``rate``, ``copies`` and ``copy`` (from 0).
 
     ``size`` is the expected number of rows over the number of documents. A source without a given weight gets none, and
     weights of sources that the table lacks are shared by the others.
     """
-    rates = target_rates(df, source, weights, power, size)
-    # one row a source; Spark broadcasts it only below its size limit, and splits a hot source beyond
-    joined = df.withColumn("_source_", F.col(source)).join(rates, F.expr("_source_ <=> _source")).drop("_source_", "_source")
-    counted = joined.withColumn("copies", poisson_counts(F.col("_rate"), F.col(key), seed)).withColumnRenamed("_rate", "rate")
+    names = [f"_{i}" for i in range(len(df.columns))]  # no name of an input column can clash with one of these
+    own = dict(zip(df.columns, names))
+    docs = df.toDF(*names)
+    rates, n = settle(target_rates(docs, own[source], weights, power, size))
+    held = rates.agg(F.sum(F.length("_source"))).first()[0] or 0
+    # one row a source, counted: broadcast, so that documents are neither shuffled nor gathered by source
+    rates = F.broadcast(rates) if n <= SOURCES and held <= NAMES else rates
+    joined = docs.join(rates, docs[own[source]].eqNullSafe(rates["_source"]))
+    counted = joined.withColumn("copies", poisson_counts(F.col("_rate"), F.col(own[key]), seed)).withColumnRenamed("_rate", "rate")
     copied = counted.filter("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)))
+    made = ("rate", "copies", "copy")
+    kept = [F.col(c).alias(given) for given, c in own.items() if given not in made]
     if not shuffled:
-        return copied
-    return copied.orderBy(F.xxhash64(F.lit(seed), F.col(key), F.col("copy")))
+        return copied.select(*kept, *made)
+    # dealt and ordered by a hash: one shuffle, without the pass that finds the ranges of a global sort
+    others = [c for c, f in zip(names, df.schema) if c != own[key] and _hashes(f.dataType)]
+    copied = copied.withColumn("place", F.xxhash64(F.lit(seed), own[key], "copy", F.when(F.col(own[key]).isNull(), F.xxhash64(*others) if others else F.lit(0))))
+    return copied.repartition("place").sortWithinPartitions("place").select(*kept, *made)
+
+
+def _hashes(kind: T.DataType) -> bool:
+    return isinstance(kind, (T.StringType, T.BinaryType, T.NumericType, T.BooleanType, T.DateType, T.TimestampType))
 
 
 def op6_source_mix(spark, sf_dir):
