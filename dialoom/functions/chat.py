@@ -42,15 +42,17 @@ def _has(doc: Column, field: str) -> Column:
 
 def prompt_chars(request: Column) -> Column:
     """Characters of all messages, text or parts with text; of the prompt where there are no messages."""
-    contents = F.from_json(request, "messages array<struct<content:string>>")["messages"]
+    listed = "array<variant>"
 
     def size(message: Column) -> Column:
-        content = message["content"]
-        parts = F.from_json(content, "array<struct<text:string>>")
-        listed = F.aggregate(parts, F.lit(0), lambda s, p: s + F.coalesce(F.length(p["text"]), F.lit(0)))
-        return F.coalesce(F.when(content.startswith("["), listed).otherwise(F.length(content)), F.lit(0))
-
-    total = F.aggregate(contents, F.lit(0), lambda s, m: s + size(m))
+        content = F.try_variant_get(message, "$.content", "variant")
+        kind = F.coalesce(F.schema_of_variant(content), F.lit(""))
+        long = lambda v, path: F.coalesce(F.length(F.try_variant_get(v, path, "string")), F.lit(0))
+        parts = F.aggregate(F.try_variant_get(content, "$", listed), F.lit(0), lambda s, p: s + long(p, "$.text"))
+        return F.when(kind.startswith("ARRAY"), F.coalesce(parts, F.lit(0))).when(kind == "STRING", long(content, "$")).otherwise(F.lit(0))
+
+    messages = F.try_variant_get(F.try_parse_json(request), "$.messages", listed)
+    total = F.aggregate(messages, F.lit(0), lambda s, m: s + size(m))
     prompt = F.coalesce(F.length(F.get_json_object(request, "$.prompt")), F.lit(0))
     return F.when(_has(request, "messages"), F.coalesce(total, F.lit(0))).otherwise(prompt).cast("long")
 

@@ -55,13 +55,27 @@ def call(function: Callable, *args, retry: Retry = Retry(), plainer: Callable |
     return None, error, retry.attempts
 
 
+def _counted(function: Callable) -> Callable:
+    """The function, which fails where it does not return an output for each row."""
+
+    def run(rows):
+        made = list(function(rows))
+        if len(made) != len(rows):
+            raise ValueError(f"{len(made)} outputs for {len(rows)} rows")
+        return made
+
+    return run
+
+
 def apply_model(
-    df: DataFrame, factory: Callable[[], Callable], inputs: list[str], output: T.StructField, retry: Retry = Retry(), batch: int = 64
+    df: DataFrame, factory: Callable[[], Callable], inputs: list[str], output: T.StructField, retry: Retry = Retry(), batch: int = 64,
+    plainer: Callable[[], Callable] | None = None,
 ) -> DataFrame:
     """The rows with the model's output, ``error``, ``attempts`` and ``duration_ms``.
 
-    The model gets a list of input tuples of at most ``batch`` rows and returns a list of outputs. Repartition first to
-    bound how many calls run at once.
+    The model gets a list of input tuples of at most ``batch`` rows and returns a list of as many outputs. A batch that
+    fails is given again row by row, so an error is that of its own row. ``plainer`` makes the model that takes over after
+    a first error about the request's form. Repartition first to bound how many calls run at once.
     """
     kept = [f for f in df.schema if f.name not in (output.name, "error", "attempts", "duration_ms")]
     schema = T.StructType(
@@ -72,24 +86,32 @@ def apply_model(
         import pyarrow as pa
         from pyspark.sql.pandas.types import to_arrow_type
 
-        model = factory()
+        model, plain = _counted(factory()), _counted(plainer()) if plainer else None
+
+        def answers(rows):
+            """(output, error, attempts, milliseconds) of each row."""
+            began = time.perf_counter()
+            made, error, attempts = call(model, rows, retry=retry if len(rows) == 1 else Retry(attempts=1), plainer=plain if len(rows) == 1 else None)
+            if error and len(rows) > 1:
+                return [x for row in rows for x in answers([row])]
+            spent = (time.perf_counter() - began) * 1000 / max(len(rows), 1)
+            return [(x, error, attempts, spent) for x in ([None] * len(rows) if error else made)]
+
         for whole in batches:
             for at in range(0, whole.num_rows, batch):
                 part = whole.slice(at, batch)
                 rows = list(zip(*(part.column(part.schema.get_field_index(c)).to_pylist() for c in inputs)))
-                began = time.perf_counter()
-                made, error, attempts = call(model, rows, retry=retry)
-                spent = (time.perf_counter() - began) * 1000 / max(len(rows), 1)
-                n = len(rows)
+                made, errors, attempts, spent = zip(*answers(rows))
                 columns = [part.column(part.schema.get_field_index(f.name)) for f in kept]
-                columns += [pa.array(made or [None] * n, to_arrow_type(output.dataType)), pa.array([error] * n, pa.string())]
-                columns += [pa.array([attempts] * n, pa.int32()), pa.array([spent] * n)]
+                columns += [pa.array(made, to_arrow_type(output.dataType)), pa.array(errors, pa.string())]
+                columns += [pa.array(attempts, pa.int32()), pa.array(spent, pa.float64())]
                 yield pa.RecordBatch.from_arrays(columns, [f.name for f in schema])
 
     return df.select(*[f.name for f in kept]).mapInArrow(run, schema)
 
 
-def converse(df: DataFrame, factory: Callable[[], Callable[[str, str], str]], history: Callable[[list[str], list[str]], str], retry: Retry = Retry()) -> DataFrame:
+def converse(df: DataFrame, factory: Callable[[], Callable[[str, str], str]], history: Callable[[list[str], list[str]], str], retry: Retry = Retry(),
+             plainer: Callable[[], Callable[[str, str], str]] | None = None) -> DataFrame:
     """Replies to every turn of a dialog, one after the other, stopping at the first error.
 
     ``df`` has ``manifest_line``, ``transcripts``, ``next_turn`` and ``prior`` (replies so far). The model gets the
@@ -100,7 +122,7 @@ def converse(df: DataFrame, factory: Callable[[], Callable[[str, str], str]], hi
     def run(batches):
         import pyarrow as pa
 
-        model = factory()
+        model, plain = factory(), plainer() if plainer else None
         kind = pa.list_(pa.struct([("turn_index", pa.int32()), ("query", pa.string()), ("plain_text", pa.string()), ("error", pa.string())]))
         for batch in batches:
             out, calls = [], []
@@ -108,7 +130,7 @@ def converse(df: DataFrame, factory: Callable[[], Callable[[str, str], str]], hi
                 said, turns, n = list(line["prior"] or []), [], 0
                 for k in range(line["next_turn"] or len(line["transcripts"]) + 1, len(line["transcripts"]) + 1):
                     query = line["transcripts"][k - 1]
-                    reply, error, tries = call(model, history(line["transcripts"][:k], said), query, retry=retry)
+                    reply, error, tries = call(model, history(line["transcripts"][:k], said), query, retry=retry, plainer=plain)
                     n += tries
                     turns.append({"turn_index": k, "query": query, "plain_text": reply, "error": error})
                     if error:

@@ -50,7 +50,15 @@ def recent_calls(calls: DataFrame, n: int, file_time: str = "file_time", path: s
     return calls.orderBy(F.desc(file_time), F.desc(path), F.desc(line)).limit(n)
 
 
-def export_rows(calls: DataFrame, headers: dict[str, str], yes: str = "是", no: str = "否") -> DataFrame:
+#: The columns of a statistics export and their headers.
+EXPORT = {
+    "timestamp": "时间戳", "model": "模型", "user": "用户", "prompt_tokens": "输入Tokens", "completion_tokens": "输出Tokens",
+    "total_tokens": "总Tokens", "duration_ms": "耗时(ms)", "success": "成功",
+}
+
+
+def export_rows(calls: DataFrame, headers: dict[str, str] = EXPORT, yes: str = "是", no: str = "否") -> DataFrame:
     """Columns for a table export under their headers, success in words."""
+    counts = ("prompt_tokens", "completion_tokens", "total_tokens")
     word = F.when(F.coalesce(F.col("success"), F.lit(True)), yes).otherwise(no)
-    return calls.select(*[(word if c == "success" else F.col(c)).alias(h) for c, h in headers.items()])
+    return calls.select(*[(word if c == "success" else F.coalesce(c, F.lit(0)) if c in counts and headers is EXPORT else F.col(c)).alias(h) for c, h in headers.items()])

@@ -169,7 +169,9 @@ def _mime_sql() -> str:
 
 
 def data_uri(spark, d):
-    return _docs(spark, d).select("doc_id", text.data_uri(F.encode(F.substring("text", 1, 200), "UTF-8"), F.lit("audio/wav")).alias("uri"))
+    """Whole texts as data URIs: the length and digest of each."""
+    uri = text.data_uri(F.encode("text", "UTF-8"), F.lit("audio/wav"))
+    return _docs(spark, d).select("doc_id", uri.alias("uri")).select("doc_id", F.length("uri").cast("long").alias("n"), F.md5("uri").alias("digest"))
 
 
 def token_estimate(spark, d):
@@ -300,7 +302,7 @@ QUERIES = {
     "strip_html_tags": (strip_html_tags, "SELECT page_id, length(trim(regexp_replace(regexp_replace(html, '<strong>([^<]*)</strong>', '\\1', 'gi'), '[\\s　 ]+', ' ', 'g')))::BIGINT AS n FROM pages"),
     "prompt_prefix": (prompt_prefix, _doc(_sql_pick(("You speak.<|endofprompt|>hello", "x<|endofprompt|>y", "You speak.<|endofprompt|>")), "t")),
     "mime_type": (mime_type, _mime_sql()),
-    "data_uri": (data_uri, _doc("'data:audio/wav;base64,' || to_base64(encode(substring(text, 1, 200)))", "uri")),
+    "data_uri": (data_uri, "SELECT doc_id, length(uri)::BIGINT AS n, md5(uri) AS digest FROM (SELECT doc_id, 'data:audio/wav;base64,' || to_base64(encode(text)) AS uri FROM documents)"),
     "token_estimate": (token_estimate, "SELECT doc_id, trunc(c / 2 + (length(t) - c) / 4)::BIGINT AS n FROM (SELECT doc_id, t, length(regexp_replace(t, '[^一-鿿]', '', 'g')) AS c FROM (SELECT doc_id, text || repeat('孩子！', doc_id % 4) AS t FROM documents))"),
     "format_count": (format_count, "SELECT doc_id, CASE WHEN n < 1000 THEN n::VARCHAR WHEN n < 1000000 THEN printf('%.1f', round_even(n / 1000, 1)) || 'K' ELSE printf('%.1f', round_even(n / 1000000, 1)) || 'M' END AS t FROM (SELECT doc_id, doc_id * doc_id * 50 + 50 AS n FROM documents)"),
     "call_cost": (call_cost, "SELECT event_id, round(event_id * 10 / 1000000 * 2.5::DOUBLE + user_id / 1000000 * 10.0::DOUBLE, 9) AS cost FROM events"),

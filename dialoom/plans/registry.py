@@ -1,8 +1,8 @@
 """Every registered query of the engine with the SQL that it is held against."""
 
-from . import dialog_queries, function_queries, turn_queries
+from . import dialog_queries, function_queries, media_queries, turn_queries
 
-_MODULES = (turn_queries, function_queries, dialog_queries)
+_MODULES = (turn_queries, function_queries, dialog_queries, media_queries)
 
 
 def queries():

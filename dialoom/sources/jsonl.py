@@ -38,8 +38,13 @@ def numbered_lines(spark: SparkSession, path: str, recursive: bool = False) -> D
 
 
 def _wellformed(line: Column) -> Column:
-    """Whether a line is one JSON object to a strict eye: no second value behind it."""
-    return F.expr("try_parse_json(line)").isNotNull() & pytrim(line).rlike(r"(?s)^\{.*\}$")
+    """Whether a line is one JSON object and nothing else.
+
+    The parser stops behind the first value. Inside brackets and inside braces it must read on: what closes one of the
+    two early cannot close the other.
+    """
+    inside = lambda a, b: F.try_parse_json(F.concat(F.lit(a), line, F.lit(b))).isNotNull()
+    return pytrim(line).startswith("{") & inside("[", "]") & inside('{"line":', "}")
 
 
 def jsonl_scan(spark: SparkSession, path: str, schema: T.StructType, bad: str = "raise", recursive: bool = False) -> DataFrame:
@@ -65,16 +70,34 @@ def jsonl_scan(spark: SparkSession, path: str, schema: T.StructType, bad: str =
     return parsed.select("path", "file_time", "line_no", *columns, *([F.col("error")] if bad == "null" else []))
 
 
+def _part(path: Column, name: str) -> Column:
+    """The value of a folder ``name=value`` in a path; null if there is none.
+
+    The folder's name is escaped, and the path, being an address, is so once more.
+    """
+    found = F.regexp_extract(path, f"/{name}=([^/]*)/", 1)
+    plain = lambda x: F.url_decode(F.replace(x, F.lit("+"), F.lit("%2B")))
+    return F.when(found != "", plain(plain(found)))
+
+
 def stats_logs(spark: SparkSession, root: str, exact_users: bool = False) -> DataFrame:
-    """Calls under ``stats/{model}/{user}_{YYYY-MM}.jsonl``; model, user and stem come from the path."""
+    """Calls under ``stats/{model}/{user}_{YYYY-MM}.jsonl``; model, user and stem come from the path.
+
+    Folders that ``write_calls`` made name model, user and month themselves.
+    """
     rows = jsonl_scan(spark, f"{root.rstrip('/')}/stats", STATS, bad="skip", recursive=True)
-    stem = F.regexp_extract("path", r"([^/]*)\.jsonl$", 1)
-    return rows.withColumns({"model": F.regexp_extract("path", r"/stats/([^/]*)/", 1), "stem": stem, "user": user_from_stem(stem, exact_users)})
+    path = F.col("path")
+    user, month = _part(path, "user"), _part(path, "ym")
+    stem = F.coalesce(F.concat(user, F.lit("_"), month), F.regexp_extract("path", r"([^/]*)\.jsonl$", 1))
+    model = F.coalesce(_part(path, "model"), F.regexp_extract("path", r"/stats/([^/]*)/", 1))
+    named = rows.withColumns({"model": model, "stem": stem, "user": user})
+    return named.withColumn("user", F.coalesce("user", user_from_stem(F.col("stem"), exact_users)))
 
 
 def call_logs(spark: SparkSession, root: str) -> DataFrame:
-    """Calls under ``calls/{model}/{YYYY-MM}/{date}.jsonl``."""
-    return jsonl_scan(spark, f"{root.rstrip('/')}/calls", CALLS, bad="skip", recursive=True)
+    """Calls under ``calls/{model}/{YYYY-MM}/{date}.jsonl``, or in folders that ``write_calls`` made."""
+    rows = jsonl_scan(spark, f"{root.rstrip('/')}/calls", CALLS, bad="skip", recursive=True)
+    return rows.withColumn("model", F.coalesce("model", _part(F.col("path"), "model"), F.regexp_extract("path", r"/calls/([^/]*)/", 1)))
 
 
 def audio_files(spark: SparkSession, root: str, pattern: str = "*.m4a") -> DataFrame:
@@ -105,12 +128,20 @@ def write_lines(lines: DataFrame, path: str, mode: str = "overwrite") -> None:
     lines.select("value").write.mode(mode).text(path)
 
 
+def write_summary(summary: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """A run's counts (stage, n) as one JSON object with an indent of two, in the order of their names."""
+    entry = F.concat(F.lit('  "'), F.col("stage"), F.lit('": '), F.col("n").cast("string"))
+    listed = F.array_join(F.array_sort(F.collect_list(entry)), ",\n")  # one entry a stage
+    whole = F.when(F.count(F.lit(1)) > 0, F.concat(F.lit("{\n"), listed, F.lit("\n}"))).otherwise(F.lit("{}"))
+    write_lines(summary.agg(whole.alias("value")).coalesce(1), path, mode)
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).option("header", "true").csv(path)
 
 
 def write_calls(calls: DataFrame, root: str) -> None:
-    """Appends calls and their statistics, partitioned so that readers prune by model and month."""
+    """Appends calls and their statistics, in folders by model, user and month that the readers above know."""
     dated = calls.withColumn("ym", F.substring("timestamp", 1, 7))
     dated.write.mode("append").partitionBy("model", "ym").json(f"{root.rstrip('/')}/calls")
     stats = dated.select("model", "user", "ym", *[f.name for f in STATS])

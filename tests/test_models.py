@@ -101,3 +101,77 @@ def test_windowed_usage_over_a_stream(spark, tmp_path):
     query = responses.usage_by_window(stream).writeStream.outputMode("complete").format("memory").queryName("usage").trigger(availableNow=True).start()
     query.awaitTermination()
     assert sorted((r.calls, r.total_tokens) for r in spark.sql("select * from usage").collect()) == [(1, 1), (2, 3)]
+
+
+def test_a_failing_row_is_its_own_error(spark):
+    def factory():
+        def run(rows):
+            if any(n == 2 for (n,) in rows):
+                raise ValueError("bad")
+            return [n for (n,) in rows]
+
+        return run
+
+    df = spark.createDataFrame([(n,) for n in range(5)], "n long").coalesce(1)
+    got = models.apply_model(df, factory, ["n"], T.StructField("v", T.LongType())).collect()
+    assert [(r.n, r.v, r.error) for r in got] == [(n, None if n == 2 else n, "ValueError: bad" if n == 2 else None) for n in range(5)]
+    short = models.apply_model(df, lambda: lambda rows: [], ["n"], T.StructField("v", T.LongType())).collect()
+    assert all(r.error == "ValueError: 0 outputs for 1 rows" and r.v is None for r in short)
+
+
+def test_conversation_in_a_plainer_form(spark):
+    def strict():
+        def reply(history, query):
+            raise ValueError("400 unknown field")
+
+        return reply
+
+    df = spark.createDataFrame([(1, ["a"], 1, [])], "manifest_line long, transcripts array<string>, next_turn int, prior array<string>")
+    row = models.converse(df, strict, lambda said, replies: "", plainer=lambda: lambda history, query: query.upper()).first()
+    assert row.new_turns[0].plain_text == "A" and row.n_api == 2
+
+
+def test_objects_and_system_text():
+    from dialoom.operators import media
+
+    asked = []
+
+    def model(system, prompt):
+        asked.append((system, prompt))
+        if system is not None:
+            raise ValueError("Unknown name: systemInstruction")
+        return "" if len(asked) < 3 else '```json\n{"a": 1}\n```'
+
+    slept = []
+    with pytest.raises(ValueError, match="empty model text"):
+        media.generate_object(model, "S", "P", sleep=slept.append)
+    assert asked[1] == (None, "System:\nS\n\nUser:\nP") and not slept
+    assert media.generate_object(model, "S", "P") == '{"a": 1}'
+
+    said = iter([RuntimeError("HTTP 503"), RuntimeError("quota"), '{"b": 2}'])
+
+    def flaky(system, prompt):
+        x = next(said)
+        if isinstance(x, Exception):
+            raise x
+        return x
+
+    assert media.generate_object(flaky, "S", "P", sleep=slept.append) == '{"b": 2}' and slept == [2.0, 4.0]
+
+
+def test_decoding_falls_back(spark):
+    from dialoom.operators import media
+
+    def broken():
+        def decode(data):
+            raise ValueError("no codec")
+
+        return decode
+
+    stereo = media.pcm_file([0.5, -0.5, 0.25, 0.25], 8000, channels=2)
+    df = spark.createDataFrame([(1, bytearray(stereo)), (2, bytearray(media.silence(0.0))), (3, None)], "id int, content binary")
+    got = {r.id: r for r in media.decode_audio(df, broken, fallback=media.pcm_decoder()).collect()}
+    assert [round(x, 3) for x in got[1].wave] == [0.0, 0.25] and got[1].rate == 8000
+    assert got[2].error == "ValueError: decoding gave no samples" and got[3].wave is None and got[3].error
+    both = media.decode_audio(df.filter("id = 1"), media.pcm_decoder(8000), mono=False).first().wave
+    assert [[round(x, 3) for x in c] for c in both] == [[0.5, 0.25], [-0.5, 0.25]]
