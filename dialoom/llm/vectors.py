@@ -2,16 +2,20 @@
 
 Vectors are compared within a label, by cosine. Equal vectors of a label are one class. A coarse quantiser and one
 codebook for each subspace of the residuals are fitted on a bounded sample; every class is then coded and put into the
-list of its nearest centre. A class probes every list that a vector within the threshold could lie in (the distance
-to the plane between two centres decides, so nothing within the threshold is out of reach), table lookups give its
-asymmetric distances to the codes there, and those that the known coding error cannot rule out are compared exactly.
+list of its nearest centre. There are about as many centres as the root of the classes of the largest label, so lists and
+probes stay short as labels grow. A class probes its own list and those whose side of the plane between the two centres is
+near: a step as long as the threshold allows, in a random direction, moves towards a plane by that length over the root of
+the width (one deviation), and ``SPREAD`` of these are allowed for. Table lookups give the asymmetric distances to the
+codes there, and those that the known coding error cannot rule out are compared exactly: only probes can miss a link, and
+tests measure how many are found. With ``spread=None`` every list within reach is probed and none is missed.
 
 Lists are dealt in blocks of bounded size and a block returns, instead of pairs, each class's number of links and a
 spanning forest of them. Each pair is compared in one block only.
 
 Defined cases: vectors that are null, empty, zero or hold null or non-finite components, and rows without a label, link
 with nothing; vectors of different lengths are not compared; rows without an id count in no component but their own; an
-input column named like an output is replaced, others are dropped.
+input column named like an output is replaced, others are dropped; components of any finite size take part; ties at the
+threshold link; an empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -25,8 +29,11 @@ from pyspark.sql import functions as F
 from .common import components, cut, forest, partitions, table
 
 COSINE = 0.93
-#: Vectors that the quantisers are fitted on, centres, subspaces, codes a subspace, rows in a block.
-SAMPLE, CENTRES, SUBSPACES, CODES, BLOCK = 16_384, 64, 8, 64, 1024
+#: Vectors that the quantisers are fitted on at most, and a centre; centres at least and at most, subspaces, codes a
+#: subspace, rows in a block.
+SAMPLE, A_CENTRE, FEWEST, CENTRES, SUBSPACES, CODES, BLOCK = 65_536, 64, 16, 2048, 8, 64, 1024
+#: Deviations of the way towards a plane that probes allow for.
+SPREAD = 2.5
 
 
 @dataclass
@@ -77,10 +84,10 @@ def _means(x: np.ndarray, k: int, rng, rounds: int = 12) -> np.ndarray:
     return centres
 
 
-def fit(x: np.ndarray, seed: int = 3) -> Quantisers:
+def fit(x: np.ndarray, lists: int = FEWEST, seed: int = 3) -> Quantisers:
     rng = np.random.Generator(np.random.PCG64(seed))
     width = x.shape[1]
-    centres = _means(x, min(CENTRES, len(x)), rng)
+    centres = _means(x, min(lists, len(x)), rng)
     rest = x - centres[distances(x, centres).argmin(axis=1)]
     parts = next(m for m in range(min(SUBSPACES, width), 0, -1) if width % m == 0)
     step = width // parts
@@ -90,28 +97,34 @@ def fit(x: np.ndarray, seed: int = 3) -> Quantisers:
 
 def unit(column) -> np.ndarray:
     rows = np.array(column.to_pylist(), np.float64)
+    rows = rows / np.abs(rows).max(axis=1)[:, None]  # squares of very large or small components stay finite
     return rows / np.sqrt((rows * rows).sum(axis=1))[:, None]
 
 
 def usable(vector: Column, label: Column) -> Column:
-    """Whether a row takes part. A sum of squares that overflows a double is not finite."""
+    """Whether a row takes part."""
     wide = vector.cast("array<double>")
-    finite = F.forall(wide, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < F.lit(1e150)))
-    some = F.exists(wide, lambda v: F.abs(v) > 1e-150)
+    finite = F.forall(wide, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) != F.lit(float("inf"))))
+    some = F.exists(wide, lambda v: v != 0)
     return F.coalesce(label.isNotNull() & (F.size(vector) > 0) & finite & some, F.lit(False))
 
 
-def links(classes: DataFrame, cosine: float) -> DataFrame:
+def links(classes: DataFrame, cosine: float, spread: float | None = SPREAD) -> DataFrame:
     """(a, b, linked): for b null, a's number of linked vectors in a block; else an edge of a block's forest.
 
     ``classes`` has id, label, vector, copies and one length of vectors.
     """
     spark = classes.sparkSession
-    chosen = classes.orderBy(F.xxhash64("id")).limit(SAMPLE).select("vector").toArrow()["vector"]
-    if not len(chosen):
+    largest = classes.groupBy("label").count().agg(F.max("count")).first()[0]
+    if not largest:
         return spark.createDataFrame([], "a long, b long, linked long")
-    shared = spark.sparkContext.broadcast(fit(unit(chosen)))  # of a size that the parameters fix
+    lists = int(min(CENTRES, max(FEWEST, round(largest**0.5))))
+    chosen = classes.orderBy(F.xxhash64("id")).limit(min(SAMPLE, A_CENTRE * lists)).select("vector").toArrow()["vector"]
+    quantisers = fit(unit(chosen), lists)
+    shared = spark.sparkContext.broadcast(quantisers)  # of a size that the parameters fix
     radius = float(np.sqrt(2 - 2 * cosine))
+    width = quantisers.centres.shape[1]
+    reachable = radius * (1.0 if spread is None else min(1.0, spread / float(np.sqrt(width))))
 
     def code(batches):
         import pyarrow as pa
@@ -122,7 +135,7 @@ def links(classes: DataFrame, cosine: float) -> DataFrame:
                 batch = whole.slice(at, 2048)
                 x = unit(batch.column(2))
                 own, codes, error = q.encode(x)
-                probes = q.probes(x, own, radius)
+                probes = q.probes(x, own, reachable)
                 yield pa.RecordBatch.from_arrays(
                     [
                         *(batch.column(i) for i in range(4)),
@@ -148,16 +161,16 @@ def links(classes: DataFrame, cosine: float) -> DataFrame:
     listed = coded.withColumn("centre", F.col("own")).join(sizes, ["label", "own"])
     block = F.pmod(F.xxhash64(F.lit("block"), "id"), F.col("blocks").cast("long")).cast("int")
     # those that ask a list are blocked too, by a number that its own size sets
-    width = asked.groupBy("label", "centre").agg(F.ceil(F.count(F.lit(1)) / (4 * BLOCK)).cast("int").alias("sides"))
+    askers = asked.groupBy("label", "centre").agg(F.ceil(F.count(F.lit(1)) / (4 * BLOCK)).cast("int").alias("sides"))
     side = F.pmod(F.xxhash64(F.lit("side"), "id"), F.col("sides").cast("long")).cast("int")
     columns = ["id", "vector", "copies", "own", "codes", "error", "probes", "label", "centre"]
     queries = (
-        asked.join(width, ["label", "centre"]).withColumn("side", side)
+        asked.join(askers, ["label", "centre"]).withColumn("side", side)
         .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select(*columns, "block", "side", F.lit(True).alias("asks"))
     )
     members = (
-        listed.join(width, ["label", "centre"]).withColumn("block", block)
+        listed.join(askers, ["label", "centre"]).withColumn("block", block)
         .withColumn("side", F.explode(F.sequence(F.lit(0), F.col("sides") - 1)))
         .select(*columns, "block", "side", F.lit(False).alias("asks"))
     )
@@ -218,7 +231,8 @@ def _thin(edges: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 def near_vectors(
-    df: DataFrame, key: str = "vec_id", vector: str = "embedding", label: str = "label", cosine: float = COSINE
+    df: DataFrame, key: str = "vec_id", vector: str = "embedding", label: str = "label", cosine: float = COSINE,
+    spread: float | None = SPREAD,
 ) -> DataFrame:
     """(key, n_links, component_id, kept) of every row; the key is read as a long."""
     wide = F.col(vector).cast("array<double>")
@@ -235,7 +249,7 @@ def near_vectors(
     lengths = [r[0] for r in classes.groupBy(F.size("vector")).count().select(F.col("size(vector)")).collect()]
     blocks = None
     for n in lengths:  # one, but for broken tables
-        part = links(classes.filter(F.size("vector") == n), cosine)
+        part = links(classes.filter(F.size("vector") == n), cosine, spread)
         blocks = part if blocks is None else blocks.unionByName(part)
     if blocks is None:
         return rows.select(key, F.lit(0).cast("long").alias("n_links"), F.col(key).alias("component_id"), F.lit(True).alias("kept"))

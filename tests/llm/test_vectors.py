@@ -69,3 +69,43 @@ def test_empty_and_ids(spark):
     assert near_vectors(spark.createDataFrame([], schema)).count() == 0
     got = near_vectors(spark.createDataFrame([(None, [1.0, 0.0], 1), (4, [1.0, 0.1], 1), (None, None, 1)], schema)).collect()
     assert sorted((r.vec_id or 0, r.n_links) for r in got) == [(0, 0), (0, 1), (4, 1)]
+
+
+def test_components_of_any_size(spark):
+    rows = [(1, [1e200, 0.0], 1), (2, [1e200, 1e190], 1), (3, [1e-200, 1e-210], 1), (4, [0.0, 5e-324], 1), (5, [1e308, 1e308], 1), (6, [-1e308, -1e308], 1), (7, [0.0, -0.0], 1)]
+    got = near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()
+    assert sorted((r.vec_id, r.n_links, r.component_id) for r in got) == [(1, 2, 1), (2, 2, 1), (3, 2, 1), (4, 0, 4), (5, 0, 5), (6, 0, 6), (7, 0, 7)]
+
+
+def many(n, seed=4):
+    """Families around seeds that lie near each other, in 64 dimensions."""
+    rng = np.random.default_rng(seed)
+    seeds = rng.normal(0, 1, (max(n // 6, 1), 64)) + 0.5
+    v = seeds[rng.integers(len(seeds), size=n)] + rng.normal(0, 1, (n, 64)) * rng.choice([0.1, 0.2, 0.25, 0.3], (n, 1))
+    return v / np.linalg.norm(v, axis=1)[:, None]
+
+
+def test_recall_and_probes_against_all_pairs():
+    from dialoom.llm import vectors
+
+    per = {}
+    for n in (1000, 5000):
+        x = many(n)
+        i, j = np.nonzero(np.triu(x @ x.T >= 0.93, 1))
+        q = fit(x, round(n**0.5))
+        own, _, _ = q.encode(x)
+        probes = q.probes(x, own, float(np.sqrt(0.14)) * vectors.SPREAD / 8)
+        found = probes[i, own[j]] | probes[j, own[i]]
+        assert len(i) > 1000 and found.mean() >= 0.99
+        per[n] = probes.sum(axis=1).mean()
+    assert per[5000] < 2 * per[1000] < 60
+
+
+def test_links_found_on_the_whole_path(spark):
+    x = many(1500, 6)
+    df = spark.createDataFrame([(k, v.tolist(), 1) for k, v in enumerate(x)], "vec_id long, embedding array<double>, label int")
+    want = (x @ x.T >= 0.93).sum(axis=1) - 1
+    got = {r.vec_id: r.n_links for r in near_vectors(df).collect()}
+    assert all(got[k] <= n for k, n in enumerate(want.tolist())) and sum(got.values()) >= 0.99 * want.sum() > 100
+    exact = {r.vec_id: r.n_links for r in near_vectors(df, spread=None).collect()}
+    assert [exact[k] for k in range(1500)] == want.tolist()
