@@ -7,7 +7,8 @@ the message that the hashes of the shallowest level name that names any, by thei
 number, where a hash that n earlier messages share counts an nth. Threads follow from the parents by pointer doubling.
 
 Defined cases: null and empty texts quote nothing and are quoted by nothing; a null conversation or turn links with
-nothing and is a thread of its own; rows that repeat a conversation and turn are one message in links and stay rows; lines
+nothing and is a thread of its own; a tie of votes goes to the later message; texts of any length are parsed whole; an
+empty table gives an empty one; rows that repeat a conversation and turn are one message in links and stay rows; lines
 of any length name a message, those that more earlier messages share weigh less; an input column named like an output is
 replaced, others are kept.
 """
@@ -67,42 +68,60 @@ def quoted_names(passages: list[tuple[int, str]]) -> dict[str, int]:
     return found
 
 
+OUTPUTS = ("n_quotes", "parent_turn", "depth", "thread")
+
+
 def link_quotes(df: DataFrame, conv: str = "conv_id", turn: str = "turn", text: str = "text") -> DataFrame:
     """The rows with own text in ``text``, and ``n_quotes``, ``parent_turn``, ``depth`` and ``thread`` (first turn)."""
-    fields = [f for f in df.schema if f.name not in ("n_quotes", "_own", "_quoted", "_levels", "parent_turn", "depth", "thread")]
+    given = [c for c in df.columns if c not in OUTPUTS]
+    own = {c: f"_{i}" for i, c in enumerate(given)}  # no name of an input column can clash with one of these
+    rows = df.select(*[F.col(f"`{c}`").alias(n) for c, n in own.items()])
+    fields, at = rows.schema.fields, given.index(text)
     listed = T.ArrayType(T.LongType())
-    schema = T.StructType([*fields, T.StructField("n_quotes", T.LongType()), T.StructField("_own", listed), T.StructField("_quoted", listed), T.StructField("_levels", listed)])
-    at = [f.name for f in fields].index(text)
+    schema = T.StructType([*fields, T.StructField("n_quotes", T.LongType())])
+    hashes = T.StructType([*(T.StructField(n, listed) for n in ("own", "quoted", "levels"))])
 
-    def split(batches):
+    def clean(batches):
         import pyarrow as pa
-        import xxhash
 
-        code = lambda x: xxhash.xxh3_64_intdigest(x) - (1 << 63)
         for batch in batches:
-            own, counts, mine, quoted, levels = [], [], [], [], []
+            texts, counts = [], []
             for value in batch.column(at):
                 raw = value.as_py()
-                clean, passages = parse(raw)
-                own.append(None if raw is None else clean)
+                kept, passages = parse(raw)
+                texts.append(None if raw is None else kept)
                 counts.append(len(passages))
-                mine.append(sorted(map(code, names(clean))))
+            columns = [pa.array(texts, pa.string()) if i == at else batch.column(i) for i in range(len(fields))]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(counts, pa.int64())], schema.names)
+
+    def name(batches):
+        import pyarrow as pa
+        import xxhash
+
+        code = lambda x: xxhash.xxh3_64_intdigest(x) - (1 << 63)
+        for batch in batches:
+            mine, quoted, levels = [], [], []
+            for value in batch.column(2):
+                kept, passages = parse(value.as_py())
+                mine.append(sorted(map(code, names(kept))))
                 asked = quoted_names(passages)
                 quoted.append([code(x) for x in asked])
                 levels.append(list(asked.values()))
-            columns = [pa.array(own, pa.string()) if i == at else batch.column(i) for i in range(len(fields))]
-            columns += [pa.array(counts, pa.int64()), *(pa.array(x, pa.list_(pa.int64())) for x in (mine, quoted, levels))]
-            yield pa.RecordBatch.from_arrays(columns, schema.names)
-
-    parsed = df.select(*[f.name for f in fields]).mapInArrow(split, schema)
-    c, t = F.col(conv), F.col(turn)
-    each = F.explode(F.arrays_zip(F.col("_quoted").alias("h"), F.col("_levels").alias("level"))).alias("x")
-    quoted = parsed.filter(F.size("_quoted") > 0).select(c.alias("c"), t.alias("t"), each)
-    quoted = quoted.filter("c is not null and t is not null").groupBy("c", "t", F.col("x.h").alias("h")).agg(F.min("x.level").alias("level"))
+            lists = [pa.array(x, pa.list_(pa.int64())) for x in (mine, quoted, levels)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *lists], named_schema.names)
+
+    # hashes are written once, without text, and read by all that follows; texts are parsed once more for the result
+    c, t = F.col(own[conv]), F.col(own[turn])
+    keyed = rows.select(c.alias("c"), t.alias("t"), own[text]).filter("c is not null and t is not null")
+    named_schema = T.StructType([*keyed.schema.fields[:2], *hashes.fields])
+    parsed = cut(keyed.mapInArrow(name, named_schema))
+    each = F.explode(F.arrays_zip(F.col("quoted").alias("h"), F.col("levels").alias("level"))).alias("x")
+    quoted = parsed.filter(F.size("quoted") > 0).select("c", "t", each)
+    quoted = quoted.groupBy("c", "t", F.col("x.h").alias("h")).agg(F.min("x.level").alias("level"))
     asked = quoted.select("c", "h").distinct()
-    own = parsed.select(c.alias("c"), t.alias("t"), F.explode("_own").alias("h")).join(asked, ["c", "h"], "left_semi").distinct()
+    mine = parsed.select("c", "t", F.explode("own").alias("h")).join(asked, ["c", "h"], "left_semi").distinct()
     # each quoted hash with the last earlier message that has it: ordered together, no pairs are made
-    both = own.select("c", "h", "t", F.col("t").alias("from")).unionByName(quoted.select("c", "h", "t", "level"), allowMissingColumns=True)
+    both = mine.select("c", "h", "t", F.col("t").alias("from")).unionByName(quoted.select("c", "h", "t", "level"), allowMissingColumns=True)
     from pyspark.sql import Window
 
     before = Window.partitionBy("c", "h").orderBy("t").rangeBetween(Window.unboundedPreceding, -1)
@@ -111,11 +130,11 @@ def link_quotes(df: DataFrame, conv: str = "conv_id", turn: str = "turn", text:
     best = F.max(F.struct((-F.col("level")).alias("level"), "n", "source")).alias("best")
     parents = cut(votes.groupBy("c", "t").agg(best).select("c", "t", F.col("best.source").alias("up")))
     threads = follow(parents)
-    out = parsed.drop("_own", "_quoted").join(
-        threads.select(F.col("c").alias("_c"), F.col("t").alias("_t"), F.col("parent").alias("parent_turn"), "depth", F.col("root").alias("thread")),
-        (c == F.col("_c")) & (t == F.col("_t")), "left",
-    )
-    return out.drop("_c", "_t").withColumns({"depth": F.coalesce("depth", F.lit(0).cast("long")), "thread": F.coalesce("thread", t)})
+    out = rows.mapInArrow(clean, schema).join(threads, (c == F.col("c")) & (t == F.col("t")), "left")
+    made = [
+        "n_quotes", F.col("parent").alias("parent_turn"), F.coalesce("depth", F.lit(0).cast("long")).alias("depth"), F.coalesce("root", t).alias("thread"),
+    ]
+    return out.select(*[F.col(n).alias(x) for x, n in own.items()], *made)
 
 
 def follow(parents: DataFrame) -> DataFrame:

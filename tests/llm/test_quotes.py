@@ -58,3 +58,62 @@ def test_shallowest_level_names_the_parent(spark):
     ]
     got = link_quotes(spark.createDataFrame(rows, "conv_id long, turn long, text string")).collect()
     assert {r.turn: (r.parent_turn, r.depth) for r in got} == {0: (None, 0), 1: (0, 1), 2: (1, 2), 3: (2, 3), 4: (2, 3)}
+
+
+def brute(rows):
+    """(parent, depth, thread) of each message, by going through every earlier message of its conversation."""
+    from dialoom.llm.quotes import normal, parse
+
+    def all_names(text):
+        return {x for x in [normal(text), *map(normal, text.split("\n"))] if x}
+
+    out = {}
+    for conv in {c for c, *_ in rows}:
+        held, up = [], {}
+        for _, turn, text in sorted(r for r in rows if r[0] == conv):
+            own, passages = parse(text)
+            levels = {}
+            for level, passage in passages:
+                for x in all_names(passage):
+                    levels[x] = min(level, levels.get(x, level))
+            votes = {}
+            for x, level in levels.items():
+                have = [k for k, named in held if x in named]
+                if have:
+                    of = votes.setdefault(level, {})
+                    of[have[-1]] = of.get(have[-1], 0) + 1_000_000 // len(have)
+            if votes:
+                first = votes[min(votes)]
+                up[turn] = max(first, key=lambda k: (first[k], k))
+            held.append((turn, all_names(own)))
+            chain, at = 0, turn
+            while at in up:
+                at, chain = up[at], chain + 1
+            out[conv, turn] = (up.get(turn), chain, at)
+    return out
+
+
+def test_against_brute_force(spark):
+    import random
+
+    rng, rows = random.Random(6), []
+    lines = ["Yes.", "no", "the plan is set", "  Meet  at NOON ", "好的", "see you", "> kept", "a line of some length here", "wer?"]
+    for conv in range(25):
+        texts = []
+        for turn in range(rng.randint(1, 14)):
+            own = [rng.choice(lines[:6] + lines[7:]) + (f" {turn}" if rng.random() < 0.4 else "") for _ in range(rng.randint(0, 4))]
+            text = []
+            if texts and rng.random() < 0.8:
+                source = rng.choice(texts).split("\n")
+                part = source if rng.random() < 0.5 else rng.sample(source, rng.randint(1, len(source)))
+                text = (["X wrote:"] if rng.random() < 0.3 else []) + [rng.choice(["> ", ">", ">> "]) + x for x in part]
+            rng.random() < 0.3 and text and text.insert(0, "")
+            texts.append("\n".join(text + own))
+            rows.append((conv, turn * 2, texts[-1]))
+    rows.append((99, 0, "long " * 200_000))
+    rows.append((99, 1, "> " + "long " * 200_000 + "\nindeed"))
+    df = spark.createDataFrame([(*r, "x", 1) for r in rows], "conv_id long, turn long, text string, c string, _0 int").repartition(3)
+    got = {(r.conv_id, r.turn): (r.parent_turn, r.depth, r.thread) for r in link_quotes(df).collect()}
+    want = brute(rows)
+    assert got == want and sum(v[0] is not None for v in want.values()) > 60 and want[99, 1] == (0, 1, 0)
+    assert {"c", "_0"} < set(link_quotes(df).columns)
