@@ -5,7 +5,9 @@ reads a text as windows of bytes, labels every position from both directions, an
 mean of those of all its positions.
 
 Defined cases: a null text and a text without a letter are ``und`` with score 0; a null id is never learned from and
-not held out; without any labelled row every text is ``und``; ties go to the label that sorts first.
+not held out; without any labelled row every text is ``und``; ties go to the label that sorts first; very long texts are
+read whole, in slices; rows that repeat are labelled one by one; an empty table gives an empty one; of the input's columns
+only the key is carried along, and a key named like an output is not supported.
 """
 
 from __future__ import annotations
@@ -17,13 +19,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import table
+from .common import settle, small, table
 from .hashing import values
 
 WINDOW = 64
 HIDDEN = 8
-#: Sampled documents a label at most, code points of each, and labels at most (the most frequent ones).
-SAMPLE, SLICE, LABELS = 400, 800, 64
+#: Sampled documents a label at most, of all labels about (one of each at least), and code points of each.
+SAMPLE, WHOLE, SLICE = 400, 25_600, 800
 STEPS, BATCH, RATE = 500, 192, 0.02
 _LANES = 2048
 
@@ -182,21 +184,23 @@ def held_out(key: str) -> Column:
 
 
 def sample(df: DataFrame, key: str, text: str, lang: str) -> tuple[list[str], list[str]]:
-    """At most SAMPLE slices of texts a label, from rows with an id that is not held out; a hash of the id chooses."""
-    rows = df.filter(F.col(lang).isNotNull() & F.col(key).isNotNull() & ~held_out(key) & (F.length(F.col(text)) > 0))
-    counts = rows.groupBy(F.col(lang).alias("lang")).count().orderBy(F.desc("count"), "lang").limit(LABELS).collect()
-    if not counts:
+    """Slices of about SAMPLE texts a label, fewer where labels are many, from rows with an id that is not held out; a
+    hash of the id chooses. Every label is learned."""
+    id_column, text_column, label = F.col(f"`{key}`"), F.col(f"`{text}`"), F.col(f"`{lang}`")
+    rows = df.filter(label.isNotNull() & id_column.isNotNull() & ~held_out(key) & (F.length(text_column) > 0))
+    rows = rows.select(id_column.alias("k"), text_column.alias("t"), label.alias("l"))
+    counts, n = settle(rows.groupBy("l").agg(F.count(F.lit(1)).alias("n")))
+    if not n:
         return [], []
-    point = F.pmod(F.xxhash64(F.lit("sample"), F.col(key)), F.lit(1 << 30)) / float(1 << 30)
-    share = F.create_map(*[x for r in counts for x in (F.lit(r["lang"]), F.lit(min(1.0, SAMPLE / r["count"])))])
-    size = F.length(F.col(text))
-    begin = F.pmod(F.xxhash64(F.lit("begin"), F.col(key)), F.greatest(size - SLICE, F.lit(1)).cast("long")).cast("int") + 1
-    chosen = rows.filter(point < F.coalesce(F.element_at(share, F.col(lang)), F.lit(0.0)))
-    found = (
-        chosen.select(point.alias("p"), F.col(lang).alias("lang"), F.col(text).substr(begin, F.lit(SLICE)).alias("slice"))
-        .orderBy("p", "lang", "slice").limit(2 * SAMPLE * len(counts)).collect()
-    )
-    return [r["slice"] for r in found], [r["lang"] for r in found]
+    each = max(1, min(SAMPLE, WHOLE // n))
+    point = F.pmod(F.xxhash64(F.lit("sample"), "k"), F.lit(1 << 30)) / float(1 << 30)
+    begin = F.pmod(F.xxhash64(F.lit("begin"), "k"), F.greatest(F.length("t") - SLICE, F.lit(1)).cast("long")).cast("int") + 1
+    shares = small(counts.select("l", (F.lit(float(each)) / F.col("n")).alias("share")), n)
+    drawn = rows.withColumn("p", point).join(shares, "l").filter("p < share")
+    # about ``each`` of a label by chance, so a bound of twice as many is never met
+    slices = drawn.select("p", "l", F.col("t").substr(begin, F.lit(SLICE)).alias("s")).orderBy("p", "l", "s").limit(2 * each * n + 1000)
+    found = slices.collect()
+    return [r["s"] for r in found], [r["l"] for r in found]
 
 
 def predict(df: DataFrame, model: Model | None, key: str, text: str) -> DataFrame:

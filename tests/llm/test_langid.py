@@ -38,6 +38,65 @@ def test_inference_is_the_trained_network():
     assert 0 < total[0, 0] / 7 < 1 and loss > 0
 
 
+def plain(model, window):
+    """Sums of each label's probability over the positions of a window, one gate of one unit at a time."""
+    import math
+
+    hidden, labels = model.inner.shape[2], len(model.labels)
+    sigmoid = lambda x: 1 / (1 + math.exp(-x))
+    states = {}
+    for d, order in ((0, range(len(window))), (1, range(len(window) - 1, -1, -1))):
+        h = [0.0] * hidden
+        for t in order:
+            b = int(window[t])
+            push = [sum(float(model.inner[d][g][k]) * h[k] for k in range(hidden)) for g in range(3 * hidden)]
+            given = [float(model.table[d][g][b]) for g in range(3 * hidden)]
+            new = []
+            for u in range(hidden):
+                update, reset = sigmoid(given[u] + push[u]), sigmoid(given[hidden + u] + push[hidden + u])
+                fresh = math.tanh(given[2 * hidden + u] + reset * push[2 * hidden + u])
+                new.append((1 - update) * fresh + update * h[u])
+            states[d, t] = h = new
+    total = [0.0] * labels
+    for t, b in enumerate(window):
+        if b == 256:
+            continue
+        scores = [sum(float(model.out[d][k][u]) * states[d, t][u] for d in (0, 1) for u in range(hidden)) + float(model.bias[k]) for k in range(labels)]
+        whole = sum(map(math.exp, scores))
+        total = [x + math.exp(y) / whole for x, y in zip(total, scores)]
+    return total
+
+
+def test_every_probability_against_plain_loops():
+    rng = np.random.Generator(np.random.PCG64(7))
+    make = lambda *s: rng.normal(0, 0.6, s).astype(np.float32)
+    untrained = Model(["a", "b", "c"], make(2, 24, 257), make(2, 24, 8), make(2, 3, 8), make(3))
+    for model in (untrained, train(["abcabc" * 20, "xyz zy" * 20, "öäü" * 30], ["p", "q", "r"], steps=20)):
+        data = "abc xyz öä ".encode() * 15 + b"q"
+        windows, _ = cut_windows(np.frombuffer(data, np.uint8), np.array([0, 70, len(data)]))
+        want = np.array([plain(model, w) for w in windows])
+        assert np.allclose(model.probabilities(windows), want, atol=1e-3) and np.abs(want.sum(axis=1) - (windows < 256).sum(axis=1)).max() < 1e-6
+
+
+def test_prediction_is_the_mean_over_positions(spark):
+    model = train(["abcabc" * 20, "xyz zy" * 20], ["p", "q"], steps=20)
+    text = "abc zyz " * 40
+    windows, _ = cut_windows(np.frombuffer(text.encode(), np.uint8), np.array([0, len(text)]))
+    want = np.array([plain(model, w) for w in windows]).sum(axis=0) / len(text)
+    df = spark.createDataFrame([(1, text), (1, text)], "doc_id long, text string")
+    for row in langid.predict(df, model, "doc_id", "text").collect():
+        assert row.lang_pred == model.labels[int(want.argmax())] and abs(row.score - want.max()) < 1e-4
+
+
+def test_rare_labels_are_learned(spark, monkeypatch):
+    monkeypatch.setattr(langid, "WHOLE", 150)
+    rows = [(i, f"text {i % 100} " * 3, f"l{i % 100}") for i in range(1000)]
+    texts, labels = langid.sample(spark.createDataFrame(rows, "doc_id long, text string, lang string"), "doc_id", "text", "lang")
+    once = langid.sample(spark.createDataFrame([(i, "x y", f"l{i}") for i in range(300)], "doc_id long, text string, lang string"), "doc_id", "text", "lang")
+    learned = {f"l{i}" for i in range(300) if zlib.crc32(str(i).encode()) % 5}
+    assert set(once[1]) == learned and len(texts) < 250 and len(set(labels)) > 50
+
+
 def _rows(n):
     rng = random.Random(4)
     tongues = {"aa": ["ka", "lo", "mi", "ta"], "bb": ["sch", "ung", "ver", "ü"], "cc": ["ción", "que", "os", "ñ"]}
