@@ -12,8 +12,9 @@ again. In the merged order, suffixes with a gram in common are neighbours, and h
 right and to the left, with at least 200 bytes in all, is what it covers.
 
 Defined cases: null and empty texts have no bytes; invalid surrogates cannot occur in Spark strings; repeated rows and
-ids are rows of their own, so a row that occurs twice is removed twice; an empty table gives none; only the key column is
-carried along.
+ids are rows of their own, so a row that occurs twice is removed twice; a very long text is a run of its own; equal strings
+are one entry of the order, whatever their number; an empty table gives none; of the input's columns only the key is
+carried along, and a key named like an output is not supported.
 """
 
 from __future__ import annotations
@@ -29,8 +30,8 @@ from .common import cut, partitions, table
 from .hashing import values
 
 LENGTH = 200
-#: Bytes of text in a run, positions hashed at once, suffixes sorted at once.
-RUN, CHUNK, SORTED = 8 << 20, 1 << 19, 60_000
+#: Bytes of text in a run, positions hashed at once, suffixes sorted at once, bytes of text for each bucket of grams.
+RUN, CHUNK, SORTED, BUCKET = 8 << 20, 1 << 19, 60_000, 16 << 20
 _PAD = 0xFF  # no UTF-8 byte: what is beyond a document's ends
 _LOW = (1 << 24) - 1
 
@@ -328,8 +329,12 @@ def reach(keys: list[bytes], shared: list[int], counts: list[int], length: int)
 
 
 def covered(df: DataFrame, length: int) -> DataFrame:
-    """(run, spans): int64 pairs (start, end) in a run's bytes that repeats cover, from checkpointed runs."""
-    n = partitions(df.sparkSession)
+    """(run, spans): int64 pairs (start, end) in a run's bytes that repeats cover, from checkpointed runs.
+
+    Grams are dealt into buckets by the bytes of text, so that a bucket, which one task holds, does not grow with the input.
+    """
+    held = df.agg(F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda s, x: s + x))).first()[0] or 0
+    n = max(partitions(df.sparkSession), -(-held // BUCKET))
     width = length + length - length // 2
 
     def name_grams(batches):
@@ -373,7 +378,7 @@ def covered(df: DataFrame, length: int) -> DataFrame:
 
     named = df.select("run", "sizes", "data").mapInArrow(name_grams, "bucket int, run long, hashes binary, twice binary")
     known = (
-        named.groupBy("bucket").applyInArrow(recurring, "run long, grams binary").filter("length(grams) > 0")
+        named.repartition(n, "bucket").groupBy("bucket").applyInArrow(recurring, "run long, grams binary").filter("length(grams) > 0")
         .groupBy("run").agg(F.collect_list("grams").alias("grams"))  # no more than a run has anchors
     )
 
@@ -436,7 +441,7 @@ def covered(df: DataFrame, length: int) -> DataFrame:
 
     candidates = df.select("run", "sizes", "data").join(known, "run")
     exchanged = candidates.select("run", "sizes", "data", "grams").mapInArrow(sort_runs, "bucket int, run long, blob binary")
-    return exchanged.groupBy("bucket").applyInArrow(merge_runs, "run long, spans binary")
+    return exchanged.repartition(n, "bucket").groupBy("bucket").applyInArrow(merge_runs, "run long, spans binary")
 
 
 def removed(size: int, spans: np.ndarray) -> np.ndarray:

@@ -94,3 +94,14 @@ def test_one_gram_with_many_contexts(spark):
 
 def test_empty_table(spark):
     assert remove_repeats(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_buckets_follow_the_bytes_and_long_texts(spark, monkeypatch):
+    monkeypatch.setattr(repeats, "BUCKET", 20_000)
+    rng = random.Random(11)
+    text = lambda k: "".join(rng.choices("abcdefgh ", k=k))
+    passage = text(700)
+    docs = [text(30_000) + passage + text(40_000), passage[100:600], passage * 2, None, *[passage] * 5]
+    df = spark.createDataFrame([(1, t) for t in docs], "doc_id long, text string")
+    got = sorted((r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in remove_repeats(df).collect())
+    assert got == sorted(brute(docs, 200))
