@@ -8,7 +8,8 @@ Links are those in a page's html to other hosts. Sites whose pages link only wit
 a host and its parent domain link to each other as long as the parent has two labels.
 
 Defined cases: a null url or one without ``://`` has an empty host and path, no rule, and is allowed, as is any host that
-neither trust nor distrust reaches; a null html has no links; repeated rows count as often as they occur; an input
+neither trust nor distrust reaches, or that both reach alike; a null html has no links; pages and urls of any length are
+read whole; repeated rows count as often as they occur; an empty table gives an empty one; an input
 column named like an output is replaced, others are dropped.
 """
 
@@ -121,10 +122,14 @@ def spread(edges: DataFrame, seeds: DataFrame, damping: float, rounds: int) -> D
     return ranks
 
 
-def judge_hosts(pages: DataFrame, html: str = "html", damping: float = DAMPING, rounds: int = ROUNDS) -> DataFrame:
-    """(host, trust, distrust) of every host that either reaches; ``pages`` has host, ruled (a verdict or null), html."""
+def judge_hosts(pages: DataFrame, html: str = "html", damping: float = DAMPING, rounds: int = ROUNDS, ties: bool = True) -> DataFrame:
+    """(host, trust, distrust) of every host that either reaches; ``pages`` has host, ruled (a verdict or null), html.
+
+    ``ties`` links hosts to their parent domains besides the links in pages.
+    """
     counted = cut(pages.filter("host <> ''").groupBy("host", "ruled").agg(F.count(F.lit(1)).alias("n")))
-    links = host_links(pages, html).unionByName(family_links(counted.select("host").distinct()))
+    links = host_links(pages, html)
+    links = links.unionByName(family_links(counted.select("host").distinct())) if ties else links
     links = cut(links.groupBy("src", "dst").agg(F.sum("weight").alias("weight")))
     ahead = links.withColumn("kind", F.lit("trust"))
     against = links.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "weight").withColumn("kind", F.lit("distrust"))
@@ -138,14 +143,14 @@ def judge_hosts(pages: DataFrame, html: str = "html", damping: float = DAMPING,
 
 def filter_urls(
     df: DataFrame, key: str = "page_id", url: str = "url", html: str = "html",
-    rules: tuple[Rule, ...] = RULES, tolerance: float = TOLERANCE,
+    rules: tuple[Rule, ...] = RULES, tolerance: float = TOLERANCE, ties: bool = True,
 ) -> DataFrame:
-    """(key, host, path, rule, verdict, trust, distrust) of every row."""
+    """(key, host, path, rule, verdict, trust, distrust) of every row; without ``ties``, hosts are linked by pages only."""
     host, path = host_of(F.col(url)), path_of(F.col(url))
     parsed = df.select(F.col(key), host.alias("host"), path.alias("path"), F.col(html).alias("_html"))
     name, verdict = first_rule(F.col("host"), F.col("path"), rules)
     ruled = parsed.select(key, "host", "path", "_html", name.alias("rule"), verdict.alias("ruled"))
-    scores = judge_hosts(ruled.select("host", "ruled", F.col("_html").alias("html")))
+    scores = judge_hosts(ruled.select("host", "ruled", F.col("_html").alias("html")), ties=ties)
     out = ruled.drop("_html").join(scores, "host", "left")
     method = F.when(F.coalesce(F.col("distrust") > tolerance * F.col("trust"), F.lit(False)), "block").otherwise("allow")
     return out.select(key, "host", "path", "rule", F.coalesce("ruled", method).alias("verdict"), "trust", "distrust")

@@ -59,3 +59,45 @@ def test_method_verdicts_and_empty(spark):
     got = {r.page_id: r.verdict for r in filter_urls(df, rules=(Rule("bad.com", "/z/", "block"),)).collect()}
     assert got == {1: "block", 2: "block", 3: "allow", None: "allow", 5: "block"}
     assert filter_urls(df.limit(0)).count() == 0
+
+
+def test_verdicts_against_brute_force(spark):
+    """Final verdicts with ties between hosts and their parents, without them, and how many the ties change."""
+    import random
+
+    rng = random.Random(3)
+    hosts = ["example.net", "a.example.net", "b.a.example.net", "x.org", "y.x.org", "z.com", "w.z.com", "example.com", "m.example.com", "lone.de", "q.w.z.com"]
+    rows = []
+    for i in range(120):
+        links = "".join(f"<a href='http://{rng.choice(hosts)}/p'>t</a>" for _ in range(rng.choice([0, 0, 1, 2])))
+        rows.append((i, f"https://{rng.choice(hosts)}{rng.choice(['/en/', '/de/', '/fr/', '/'])}{i}", links + ("x" * 100_000 if i == 5 else "")))
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    changed = {}
+    for ties in (True, False):
+        pages = {r.page_id: r for r in filter_urls(df, ties=ties).collect()}
+        links, seeds, family = {}, {"allow": {}, "block": {}}, set()
+        for i, _, html in rows:
+            host = pages[i].host
+            for part in html.split("href='http://")[1:]:
+                if (to := part.split("/")[0]) != host:
+                    links[host, to] = links.get((host, to), 0) + 1
+            if pages[i].rule:
+                kind = next(r.verdict for r in RULES if r.name == pages[i].rule)
+                seeds[kind][host] = seeds[kind].get(host, 0) + 1
+        if ties:
+            for host in {r.host for r in pages.values()}:
+                while host.count(".") > 1:
+                    up = host.split(".", 1)[1]
+                    family |= {(host, up), (up, host)}
+                    host = up
+        for pair in family:
+            links[pair] = links.get(pair, 0) + 1
+        every = {h for pair in links for h in pair} | {r.host for r in pages.values()}
+        trust, distrust = brute(every, links, seeds["allow"]), brute(every, {(d, s): w for (s, d), w in links.items()}, seeds["block"])
+        for i, r in pages.items():
+            if r.rule is None:
+                assert abs(trust[r.host] - distrust[r.host]) < 1e-9 or r.verdict == ("block" if distrust[r.host] > trust[r.host] else "allow")
+            else:
+                assert r.verdict == next(x.verdict for x in RULES if x.name == r.rule)
+        changed[ties] = {i: r.verdict for i, r in pages.items()}
+    assert any(changed[True][i] != changed[False][i] for i in changed[True])
