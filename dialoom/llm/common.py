@@ -47,12 +47,28 @@ def shared_folder(spark: SparkSession) -> str:
 _LOCAL: dict[int, str] = {}
 
 
+@contextmanager
+def swept(spark: SparkSession):
+    """Frames made and run in here leave no shuffle files behind: what they were for is written when they end."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """The rows written to the shared checkpoint folder, so that later reads survive lost executors."""
     spark = df.sparkSession
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(shared_folder(spark))
-    done = df.checkpoint(eager=True)
+    with swept(spark):
+        done = df.select("*").checkpoint(eager=True)
     # A checkpoint keeps its plan's estimated size, and joins multiply estimates: in a loop they outgrow any number.
     # The same rows without an estimate leave the choice of joins to what adaptive execution measures.
     rows = done._jdf.queryExecution().toRdd()
@@ -70,7 +86,8 @@ def shelf(spark: SparkSession):
 
     def put(df: DataFrame, key: str) -> DataFrame:
         place = f"{name}.t{uuid.uuid4().hex}"
-        df.write.format("parquet").bucketBy(partitions(spark), key).saveAsTable(place)
+        with swept(spark):
+            df.select("*").write.format("parquet").bucketBy(partitions(spark), key).saveAsTable(place)
         return spark.table(place)
 
     try:
