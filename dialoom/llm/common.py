@@ -96,6 +96,17 @@ def shelf(spark: SparkSession):
         spark.sql(f"DROP DATABASE {name} CASCADE")
 
 
+def give_back() -> None:
+    """Free memory of a Python worker back to the system, so that idle workers hold only what they remember."""
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # only some C libraries have it
+        trim(0)
+
+
 #: Rows of a few numbers that one task takes, and that a broadcast may hold: counted first, a few megabytes at most.
 ROWS, BROADCAST = 100_000, 100_000
 

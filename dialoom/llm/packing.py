@@ -19,16 +19,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import partitions, table
+from .common import give_back, partitions, table
 from .hashing import values
 
 WINDOW = 4096
 END_ID = 2
 POOL = 200_000
 #: Bytes of text that are tokenised at once; a longer document is tokenised in slices that end between chunks.
-SLICE = 1 << 22
+SLICE = 1 << 21
 #: Chunks whose ids a worker remembers; beyond, it forgets them all.
-_CACHE = 1_000_000
+_CACHE = 250_000
 _BREAK = "\x01"
 #: Characters that are split from a letter before them, where the vocabulary does so too.
 _STOPS = b",.!?;:#$%&*"
@@ -322,6 +322,7 @@ def tokenised_pieces(
             if with_ids:
                 arrays.append(pa.array(columns[5], pa.binary()))
             yield pa.RecordBatch.from_arrays(arrays, [f.name for f in fields])
+        give_back()
 
     return df.select(key, text).mapInArrow(cut_up, T.StructType(fields))
 
