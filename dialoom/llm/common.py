@@ -107,6 +107,16 @@ def give_back() -> None:
         trim(0)
 
 
+def lean(body: Callable) -> Callable:
+    """``body`` for ``mapInArrow``, whose worker gives its free memory back after each task."""
+
+    def run(batches):
+        yield from body(batches)
+        give_back()
+
+    return run
+
+
 #: Rows of a few numbers that one task takes, and that a broadcast may hold: counted first, a few megabytes at most.
 ROWS, BROADCAST = 100_000, 100_000
 
@@ -175,11 +185,11 @@ def components(edges: DataFrame) -> DataFrame:
     changes no edge ends the loop: every other one hangs some node under a smaller one, so the rounds are finite.
     """
     pairs = edges.select(F.col("a").cast("long"), F.col("b").cast("long")).filter("a <> b")
-    pairs = cut(pairs.mapInArrow(forest, "a long, b long"))
+    pairs = cut(pairs.mapInArrow(lean(forest), "a long, b long"))
     tasks = pairs.rdd.getNumPartitions()
     if tasks > 1:
         tasks = -(-pairs.count() // EDGES)
-        pairs = cut(pairs.coalesce(max(tasks, 1)).mapInArrow(forest, "a long, b long"))
+        pairs = cut(pairs.coalesce(max(tasks, 1)).mapInArrow(lean(forest), "a long, b long"))
     if tasks > 1:
         pairs = _stars(pairs)
         members = pairs.groupBy("a").agg(F.min("b").alias("component_id")).withColumnRenamed("a", "node")

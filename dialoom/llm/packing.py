@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import give_back, partitions, table
+from .common import lean, partitions, table
 from .hashing import values
 
 WINDOW = 4096
@@ -322,9 +322,8 @@ def tokenised_pieces(
             if with_ids:
                 arrays.append(pa.array(columns[5], pa.binary()))
             yield pa.RecordBatch.from_arrays(arrays, [f.name for f in fields])
-        give_back()
 
-    return df.select(key, text).mapInArrow(cut_up, T.StructType(fields))
+    return df.select(key, text).mapInArrow(lean(cut_up), T.StructType(fields))
 
 
 class CapacityTree:
@@ -431,7 +430,7 @@ def pack(
         if rows:
             yield from pool()
 
-    return dealt.mapInArrow(fill, schema)
+    return dealt.mapInArrow(lean(fill), schema)
 
 
 def op10_packing(spark, sf_dir):
