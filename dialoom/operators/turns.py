@@ -204,6 +204,7 @@ def extract_turns(audio: DataFrame, diarize, **limits) -> DataFrame:
 
 
 def rttm_lines(turns: DataFrame) -> DataFrame:
-    """One text line a turn in the standard diarisation format."""
+    """One text line a turn in the standard diarisation format; null where the turn lacks a part of it."""
     line = F.format_string("SPEAKER %s 1 %.3f %.3f <NA> <NA> %s <NA> <NA>", F.col("audio_id").cast("string"), F.col("start"), duration(), F.col("speaker_label"))
-    return turns.select(line.alias("value"))
+    whole = F.col("audio_id").isNotNull() & (F.col("end") >= F.col("start")).isNotNull() & F.col("speaker_label").isNotNull()
+    return turns.select(F.when(whole, line).alias("value"))

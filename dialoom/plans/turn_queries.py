@@ -229,7 +229,8 @@ def stage_summary(spark, d):
 
 
 def rttm(spark, d):
-    short = lambda n: F.round(n, 2).alias(n)
+    # as in SQL, the double times 100 is what is rounded; F.round takes the decimals that a double is printed with
+    short = lambda n: (F.round(F.col(n) * 100, 0) / 100).alias(n)
     return turns.rttm_lines(_merged(spark, d).select("audio_id", short("start"), short("end"), "speaker_label"))
 
 

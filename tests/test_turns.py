@@ -71,3 +71,32 @@ def test_one_exchange_serves_merge(spark):
     raw = spark.createDataFrame([(1, 0.0, 1.0, "a")], "audio_id int, start double, end double, speaker_label string")
     plan = turns.merge_turns(raw)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_rttm_lines_round_as_their_sql(spark, tmp_path):
+    """Ends on half hundredths, as sums of doubles: the line of each is that of the SQL; no line without a label."""
+    from collections import Counter
+
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from dialoom.plans import registry
+
+    duckdb = pytest.importorskip("duckdb")
+    rng, n = random.Random(15), 4000
+    path = f"{tmp_path}/events.parquet"
+    pq.write_table(
+        pa.table({
+            "event_id": range(n),
+            "ts": pa.array([1_704_067_200_000_000 + 5000 * rng.randrange(1, 500_000_000) for _ in range(n)], pa.timestamp("us")),
+            "user_id": range(n),
+            "event_type": [rng.choice(["click", "sign up", None]) for _ in range(n)],
+            "value": [rng.randrange(1, 56_000) / 100 for _ in range(n)],
+        }),
+        path,
+    )
+    got = Counter(r.value for r in registry.queries()["rttm_lines"](spark, str(tmp_path)).collect())
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW events AS SELECT * FROM '{path}'")
+    assert got == Counter(r[0] for r in con.execute(registry.oracle_sql()["rttm_lines"]).fetchall())
+    assert got[None] > 0
