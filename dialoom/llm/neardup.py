@@ -7,9 +7,9 @@ candidates as long as that prefix has the least depth. How deep a prefix they sh
 region of the order is; nothing is enumerated beyond neighbours. Candidates whose signatures agree enough are confirmed
 on full sets, the best ones of each class first, then the best one between any two components, then all that would
 still join two. A star, whose members resemble only its centre, is larger than any neighbourhood: in each region with
-several components all are then held against the member with most links. Regions with more members than neighbours are
-looked at make families: there, whatever is common to the family says nothing, so members are held against those that share
-single signature values which only few of the family have, or against the most linked of these where they are many.
+several components all are then held once against the member with most links. Where a region with more members than neighbours
+are looked at still has several components, every two members of different ones are compared on their full sets, in blocks
+and without a bound on their number: the neighbourhood orders the work, it drops no pair.
 
 Defined cases: null texts and texts without words have an empty set and are linked with nothing; fewer than five words
 are one shingle; rows with the same id are one document and share a component; a row without id takes the component of
@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import BROADCAST, components, cut, lean, partitions, settle, shelf, small, table
+from .common import BROADCAST, components, cut, give_back, lean, partitions, settle, shelf, small, table
 from .hashing import mix, shingle_sets
 
 SHINGLE = 5
@@ -38,8 +38,8 @@ KIN, ALIKE = 54, 70
 #: Candidates of a class that the first round confirms; parts that the copies of a text are dealt into; about as many pairs
 #: of a hub are a part.
 FIRST, SALTS, PART = 2, 32, 256
-#: Members with a value that are all held against one another, that a list in a task may hold, values that a pair shares.
-FEW, LONG, SHARED = 16, 1000, 2
+#: About as many members, and as many shingles of theirs, are a block of a crowded region.
+MEMBERS, WEIGHT = 2048, 1_000_000
 
 
 def _functions() -> tuple[np.ndarray, np.ndarray]:
@@ -304,62 +304,128 @@ def _hub_pairs(leaders: DataFrame, links: DataFrame, joined: DataFrame, n: int)
     return _crossing(pairs, joined, n).select("a", "b")
 
 
-def _values(batches):
-    """Members of families to their single signature values."""
-    import pyarrow as pa
+def held_together(x: list, y: list | None, cx: np.ndarray, cy: np.ndarray, percent: int) -> np.ndarray:
+    """Pairs (low, high) of components that a pair of sets links, each of ``x`` with each of ``y`` (null: with ``x``).
 
-    place = (np.arange(VALUES) << 16).astype(np.int32)
-    for batch in batches:
-        for at in range(0, batch.num_rows, 4096):
-            part = batch.slice(at, 4096)
-            sig = np.frombuffer(b"".join(part.column(3).to_pylist()), np.uint16).reshape(-1, VALUES)
-            family, i, n = (pa.array(np.repeat(part.column(k).to_numpy(), VALUES)) for k in range(3))
-            yield pa.RecordBatch.from_arrays([family, pa.array((place + sig).astype(np.int32).ravel()), i, n], ["family", "value", "id", "n"])
-
-
-def _reach_pairs(
-    leaders: DataFrame, crowded: DataFrame, links: DataFrame | None, joined: DataFrame | None, n: int
-) -> tuple[DataFrame | None, tuple[DataFrame, int]]:
-    """(a, b): members of families that share several values which few of the family have, in two components; and, of
-    ``crowded`` (id, regions: at most one a tree), what regions with several components are left, with their number."""
+    Sets are distinct shingle hashes, cx and cy their components. Shingles that many of both sides have are counted by a
+    product of matrices, the others by lists of who has them.
+    """
+    sides = [x] if y is None else [x, y]
+    sizes = [np.array([len(s) for s in side], np.int64) for side in sides]
+    who = [np.repeat(np.arange(len(side)), n) for side, n in zip(sides, sizes)]
+    _, code = np.unique(np.concatenate([np.concatenate(side) for side in sides]), return_inverse=True)
+    code = code.ravel()
+    codes = [code] if y is None else [code[: len(who[0])], code[len(who[0]) :]]
+    have = [np.bincount(c, minlength=code.max() + 1) for c in codes]
+    if y is None:
+        sizes, who, codes, have = (2 * part for part in (sizes, who, codes, have))
+    (nx, ny), work = (len(n) for n in sizes), have[0] * have[1]
+    many = work * 512 >= nx * ny
+    common = np.zeros((nx, ny), np.float32)  # whole numbers up to 2**24
+    dense = np.flatnonzero(many & (work > 0))
+    place = np.full(len(work), -1)
+    place[dense] = np.arange(len(dense))
+    at = [place[c] for c in codes]
+    for low in range(0, len(dense), 1024):
+        ones = []
+        for n, w, k in zip((nx, ny), who, at):
+            here = (k >= low) & (k < low + 1024)
+            ones.append(np.zeros((n, min(1024, len(dense) - low)), np.float32))
+            ones[-1][w[here], k[here] - low] = 1
+        common += ones[0] @ ones[1].T
+    few = ~many & (work > 0)
+    left, right = (np.flatnonzero(few[c]) for c in codes)
+    right = right[np.argsort(codes[1][right], kind="stable")]
+    starts = np.concatenate([[0], np.cumsum(np.where(few, have[1], 0))])
+    times = have[1][codes[0][left]]
+    ends = np.cumsum(times)
+    done = 0
+    while done < len(left):  # about four million hits at once
+        stop = max(done + 1, int(np.searchsorted(ends, (ends[done - 1] if done else 0) + (1 << 22), "right")))
+        i, t = left[done:stop], times[done:stop]
+        within = np.arange(t.sum()) - np.repeat(np.cumsum(t) - t, t)
+        j = right[np.repeat(starts[codes[0][i]], t) + within]
+        hits = np.repeat(who[0][i], t) * ny + who[1][j]
+        common += np.bincount(hits, minlength=nx * ny).reshape(nx, ny)
+        done = stop
+    found = []
+    for low in range(0, nx, 256):
+        c = common[low : low + 256].astype(np.int64)
+        union = sizes[0][low : low + 256, None] + sizes[1] - c
+        i, j = np.nonzero((c > 0) & (100 * c >= percent * union) & (cx[low : low + 256, None] != cy))
+        pairs = np.stack([cx[i + low], cy[j]], axis=1)
+        found.append(np.unique(np.sort(pairs, axis=1), axis=0))
+    return np.unique(np.concatenate(found), axis=0)
+
+
+def _crowd_links(sized: DataFrame, crowded: DataFrame, joined: DataFrame | None, n: int, texts: DataFrame, percent: int) -> DataFrame | None:
+    """(a, b): components linked by any two members of a crowded region, each pair of which is held against its full sets.
+
+    ``crowded`` has id, regions (at most one a tree), ``sized`` id, n_shingles. Members of one component are not compared.
+    Regions that share members are a family, which is compared whole where that is less than region by region. Its small
+    components are dealt into blocks, and so is each large one, so that a task holds two blocks and never a family.
+    """
     named = crowded.withColumn("c", F.col("id"))
     if joined is not None:
         hung = small(joined.select(F.col("node").alias("id"), "component_id"), n)
         named = crowded.join(hung, "id", "left").withColumn("c", F.coalesce("component_id", "id"))
     named = named.select("id", "c", F.explode("regions").alias("region"))
     mixed = named.groupBy("region").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.min("id").alias("a")).filter("low < high")
-    # components only grow, so a region that has one only is never looked at again
-    named = cut(named.join(mixed, "region").select("id", "region", "a"))
-    left = settle(named.groupBy("id").agg(F.collect_set("region").alias("regions")))
-    if not left[1]:
-        return None, left
-    family = cut(components(named.select("a", F.col("id").alias("b"))))
-    sizes = settle(family.groupBy(F.col("component_id").alias("family")).agg(F.count(F.lit(1)).alias("members")))
-    rows = family.select(F.col("node").alias("id"), F.col("component_id").alias("family")).join(leaders.select("id", "sig"), "id")
-    rows = rows.withColumn("n", F.lit(0).cast("long"))
-    if links is not None:
-        degree = links.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("n"))
-        rows = rows.drop("n").join(small(degree, n), "id", "left").fillna(0, ["n"])
-    values = cut(rows.select("family", "id", "n", "sig")).mapInArrow(lean(_values), "family long, value int, id long, n long")
-    member = F.struct("n", "id")
-    counts = values.groupBy("family", "value").agg(F.count(F.lit(1)).alias("m"), F.max(member).alias("hub"))
-    wide, n_wide = settle(counts.filter(F.col("m") > LONG).select("family", "value", "m", "hub.id").withColumnRenamed("id", "hub"))
-    # what most of a family has is what makes it one: the regions' own hubs are enough there
-    own = wide.join(small(*sizes), "family").filter("2 * m <= members").select("family", "value", "hub")
-    far = values.join(small(own, n_wide), ["family", "value"]).select("id", F.col("hub").alias("other"))
-    lists = values.join(small(wide.select("family", "value"), n_wide), ["family", "value"], "left_anti")
-    lists = lists.groupBy("family", "value").agg(F.collect_list(member).alias("l")).filter(F.size("l") > 1)
-    others = F.when(F.size("l") <= FEW, F.col("l.id")).otherwise(F.array(F.array_max("l")["id"]))
-    close = lists.select(F.explode("l.id").alias("id"), others.alias("others")).select("id", F.explode("others").alias("other"))
-    both = far.unionByName(close.filter("id <> other")).filter("id <> other")
-    # pairs that meet in a short list meet twice in each; in a long one, once
-    both = both.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b"))
-    pairs = both.groupBy("a", "b").agg(F.count(F.lit(1)).alias("k")).filter(F.col("k") > 2 * (SHARED - 1)).select("a", "b")
-    return _crossing(pairs, joined, n).select("a", "b"), left
+    named, rows = settle(named.join(mixed, "region").select("id", "c", "region", "a"))
+    if not rows:
+        return None
+    one = F.count(F.lit(1))
+    family = settle(components(named.select("a", F.col("id").alias("b"))))[0].select(F.col("node").alias("id"), F.col("component_id").alias("family"))
+    placed = named.join(family, "id")
+    apart = placed.groupBy("family", "region").agg(one.alias("m")).groupBy("family").agg(F.sum(F.col("m") * F.col("m")).alias("apart"))
+    whole = family.groupBy("family").agg(one.alias("m")).join(apart, "family").select("family", (F.col("m") * F.col("m") <= F.col("apart")).alias("whole"))
+    region = F.when(F.col("whole"), -1).otherwise(F.col("region")).alias("region")
+    members = placed.join(whole, "family").select("family", region, "id", "c").distinct()
+    weights = sized.groupBy("id").agg(F.sum("n_shingles").alias("w"))
+    members, _ = settle(members.join(weights, "id"))
+    # a component that fills blocks of its own has a lane; the others share one
+    unit = ["family", "region"]
+    full = (F.col("m") >= MEMBERS) | (F.col("w") >= WEIGHT)
+    lanes = members.groupBy(*unit, "c").agg(one.alias("m"), F.sum("w").alias("w")).withColumn("own", full)
+    lanes = lanes.withColumn("lane", F.when(F.col("own"), F.col("c")).otherwise(0))
+    parts = lanes.groupBy(*unit, "own", "lane").agg(F.ceil(F.greatest(F.sum("m") / MEMBERS, F.sum("w") / WEIGHT)).alias("parts"))
+    named = lanes.select(*unit, "c", "own", "lane").join(parts, [*unit, "own", "lane"])
+    block = lambda part: F.struct("own", "lane", part.alias("part")).alias("block")
+    members = members.join(named, [*unit, "c"]).select(*unit, block(F.pmod(F.xxhash64("id"), F.col("parts"))), "id", "c")
+    blocks = cut(parts.withColumn("p", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))).select(*unit, block(F.col("p"))))
+    pairs = blocks.withColumnRenamed("block", "x").join(blocks.withColumnRenamed("block", "y"), unit)
+    pairs = pairs.filter("x <= y and not (x.own and y.own and x.lane = y.lane)").withColumn("pair", F.monotonically_increasing_id())
+    pairs = cut(pairs)
+    sides = pairs.select(*unit, "pair", F.col("x").alias("block"), F.lit(0).alias("side")).unionByName(
+        pairs.filter("x <> y").select(*unit, "pair", F.col("y").alias("block"), F.lit(1).alias("side"))
+    )
+    sent, _ = settle(sides.join(members, [*unit, "block"]).select("pair", "side", "c", "id"))
+    sent = sent.join(texts, "id").select("pair", "side", "c", "text")
+
+    def compare(rows):
+        import pyarrow as pa
+
+        sets, side, c = [[], []], rows.column("side").to_numpy(), rows.column("c").to_numpy()
+        of = ([], [])
+        at = 0
+        for batch in rows.select(["text"]).to_batches(1024):
+            for i, x in shingle_sets(batch.column(0), SHINGLE):
+                sets[side[at + i]].append(x)
+                of[side[at + i]].append(c[at + i])
+            at += batch.num_rows
+        one = not sets[1]
+        x, y = (np.array(k, np.int64) for k in of)
+        found = held_together(sets[0], None if one else sets[1], x, x if one else y, percent) if sets[0] else np.zeros((0, 2), np.int64)
+        out = pa.table({"a": pa.array(found[:, 0], pa.int64()), "b": pa.array(found[:, 1], pa.int64())})
+        del sets, found
+        give_back()
+        return out
+
+    return sent.groupBy("pair").applyInArrow(compare, "a long, b long")
 
 
 def link(leaders: DataFrame, docs: DataFrame, percent: int = PERCENT) -> DataFrame | None:
-    """(node, component_id) of the linked classes; leaders has id, sig and docs id, text."""
+    """(node, component_id) of the linked classes; leaders has id, sig, n_shingles and docs id, text."""
     pairs, crowded = planted(leaders)
     kin, _ = settle(agreement(pairs, leaders))
     crowded, n_crowded = settle(crowded.groupBy("id").agg(F.collect_set("region").alias("regions")))
@@ -372,31 +438,29 @@ def link(leaders: DataFrame, docs: DataFrame, percent: int = PERCENT) -> DataFra
 
 
 def _rounds(leaders, relatives, kin, crowded, texts, percent) -> DataFrame | None:
-    """Confirms pairs until no one that could join two components is left.
+    """Confirms pairs until no one that could join two components is left, then compares crowded regions whole.
 
     No pair is confirmed twice, and a round without new pairs is the last, so the rounds are finite; lineage and number
-    of tasks are the same in each.
+    of tasks are the same in each. One round holds members against hubs: it joins stars in linear time, and what it leaves
+    is compared pair by pair.
     """
     open_pairs, joined, n_joined, links, tried = kin.filter(F.col("same") >= ALIKE), None, 0, None, None
-    open_rows = 1
+    open_rows, hubs = 1, False
     for number in count():
         n = 0
         if open_rows:
             open_pairs, open_rows = settle(_crossing(open_pairs.select("a", "b", "same"), joined, n_joined))
             chosen, n = settle(_best(open_pairs, number)) if number < 2 else (open_pairs.select("a", "b"), open_rows)
         if not n:
-            near = None if joined is None else _hub_pairs(relatives, links, joined, n_joined)
-            if crowded[1]:
-                reached, crowded = _reach_pairs(leaders, crowded[0], links, joined, n_joined)
-                near = reached if near is None else near if reached is None else near.unionByName(reached).distinct()
-            if near is None:
-                return joined
-            near, n = settle(near if tried is None else near.join(small(*tried), ["a", "b"], "left_anti"))
-            if not n:
-                return joined
-            chosen, n = settle(agreement(near, leaders, n).filter(F.col("same") >= ALIKE).select("a", "b"))
+            if joined is None or hubs:
+                break
+            hubs = True
+            near = _hub_pairs(relatives, links, joined, n_joined)
+            near, n = settle(near.join(small(*tried), ["a", "b"], "left_anti"))
+            if n:
+                chosen, n = settle(agreement(near, leaders, n).filter(F.col("same") >= ALIKE).select("a", "b"))
             if not n:
-                return joined
+                break
         found, n_found = settle(confirm(chosen, texts, percent, n))
         if n_found:
             links = found if links is None else settle(links.unionByName(found))[0]
@@ -405,6 +469,11 @@ def _rounds(leaders, relatives, kin, crowded, texts, percent) -> DataFrame | Non
         if open_rows:
             open_pairs = open_pairs.join(small(chosen, n), ["a", "b"], "left_anti")
             open_rows = max(open_rows - n, 0)
+    more = _crowd_links(relatives, crowded[0], joined, n_joined, texts, percent) if crowded[1] else None
+    if more is None:
+        return joined
+    folded = more if joined is None else more.unionByName(joined.select(F.col("component_id").alias("a"), F.col("node").alias("b")))
+    return components(folded)
 
 
 def exact_classes(rows: DataFrame, key: str) -> DataFrame:
@@ -424,7 +493,7 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", perc
     """(key, n_shingles, component_id, kept) of every row; the key is read as a long."""
     rows = cut(signatures(df, key, text))
     named = exact_classes(rows, key)
-    leaders = cut(named.filter(F.col(key) == F.col("first")).select(F.col(key).alias("id"), "sig"))
+    leaders = cut(named.filter(F.col(key) == F.col("first")).select(F.col(key).alias("id"), "sig", "n_shingles"))
     joined = link(leaders, df.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text")), percent)
     # rows that share an id are one document: their classes' leaders are linked through it
     twice = named.filter(F.col("first").isNotNull()).groupBy(key).agg(F.count_distinct("first").alias("n")).filter("n > 1")

@@ -212,3 +212,61 @@ def test_hub_pairs_in_parts(spark, monkeypatch):
     got = neardup.confirm(spark.createDataFrame(pairs, "a long, b long"), texts)
     assert sorted(tuple(r) for r in got.collect()) == sorted(want)
     assert 0 < len(want) < len(pairs)
+
+
+def test_every_pair_of_a_crowded_region(spark, monkeypatch):
+    """Pairs in a family whose rare values are shared by more members than a list would hold; blocks of any size."""
+    import numpy as np
+
+    from dialoom.llm import neardup
+
+    monkeypatch.setattr(neardup, "NEAR", 1)
+    monkeypatch.setattr(neardup, "MEMBERS", 150)
+    rng = random.Random(21)
+    some = lambda: int(rng.random() > 0.91)
+    picks = {k: [some() for _ in range(250)] for k in range(500)}
+    for k in range(60):  # about 0.8 of the union in common with k
+        picks[9000 - k] = [some() if rng.random() < 0.4 else x for x in picks[k]]
+    rows = [(i, " ".join(f"s{n}v{x}w{w}" for n, x in enumerate(p) for w in range(6))) for i, p in picks.items()]
+    ids, names, comp = [i for i, _ in rows], {}, {i: i for i, _ in rows}
+    sets = [{names.setdefault(tuple(w[k : k + 5]), len(names)) for k in range(len(w) - 4)} for w in (t.split() for _, t in rows)]
+    has = np.zeros((len(ids), len(names)), np.float32)
+    for row, x in zip(has, sets):
+        row[list(x)] = 1
+    common, size = has @ has.T, has.sum(axis=1)
+
+    def find(x):
+        while comp[x] != x:
+            x = comp[x]
+        return x
+
+    for i, j in zip(*np.nonzero(100 * common >= 75 * (size[:, None] + size - common))):
+        low, high = sorted((find(ids[i]), find(ids[j])))
+        comp[high] = low
+    got = {r.doc_id: r.component_id for r in near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    want = {i: find(i) for i in ids}
+    assert 20 < len(set(want.values())) < len(ids) - 20
+    assert sum(got[i] != want[i] for i in ids) == 0
+
+
+def test_held_together_counts_every_pair():
+    import numpy as np
+
+    from dialoom.llm.neardup import held_together
+
+    rng = np.random.default_rng(4)
+    base = rng.choice(1 << 40, 200, replace=False).astype(np.uint64)
+    sets = [np.unique(np.concatenate([base[rng.random(200) < 0.85], rng.integers(1 << 41, (1 << 41) + 40, rng.integers(0, 20), np.uint64)])) for _ in range(90)]
+    sets += [np.arange(k, k + 9, dtype=np.uint64) for k in range(30)]
+    comp = rng.integers(0, 50, len(sets))
+    for percent in (60, 75):
+        for cut in (None, 40):
+            pairs = set()
+            for i in range(len(sets)):
+                for j in range(i):
+                    c = len(np.intersect1d(sets[i], sets[j]))
+                    sides = cut is None or (j < cut) != (i < cut)
+                    if sides and c and comp[i] != comp[j] and 100 * c >= percent * (len(sets[i]) + len(sets[j]) - c):
+                        pairs.add((min(comp[i], comp[j]), max(comp[i], comp[j])))
+            got = held_together(sets, None, comp, comp, percent) if cut is None else held_together(sets[:cut], sets[cut:], comp[:cut], comp[cut:], percent)
+            assert sorted(map(tuple, got.tolist())) == sorted((int(a), int(b)) for a, b in pairs) and pairs
