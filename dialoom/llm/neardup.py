@@ -18,7 +18,7 @@ its class, null if no row there has an id; an input column named like an output
 
 from __future__ import annotations
 
-from itertools import count
+from itertools import chain, count
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -118,7 +118,9 @@ def _planted(batches):
 def _neighbours(seams: bool):
     """Pairs (a, b, shared) of rows in sorted order that share a prefix; with seams, also the rows at a task's ends.
 
-    Members (a) of a region (shared) with more rows than the neighbours looked at have no b.
+    A region holds the rows that share the least prefix. Where it has no more rows than are looked at, all its pairs are
+    found. Members (a) of a larger region (shared) have no b: these are compared whole later on, so that of their pairs
+    only those next to each other are found here, one a row.
     """
     reach = NEAR + 1
 
@@ -131,52 +133,63 @@ def _neighbours(seams: bool):
             if ids is None:
                 columns = [pa.array(a), blank(pa.int64()) if b is None else pa.array(b), pa.array(shared), blank(pa.int32()), blank(pa.binary())]
             else:
-                columns = [pa.array(ids), blank(pa.int64()), blank(pa.int64()), pa.array(tree), pa.array(key, pa.binary())]
+                raw = [k.astype(">u2").tobytes() for k in key]  # joined batches are in the machine's byte order
+                columns = [pa.array(ids), blank(pa.int64()), blank(pa.int64()), pa.array(tree), pa.array(raw, pa.binary())]
             return pa.RecordBatch.from_arrays(columns, ["a", "b", "shared", "tree", "key"])
 
-        tail, edge_made = None, False
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            tree = batch.column(0).to_numpy()
-            key = np.frombuffer(b"".join(batch.column(1).to_pylist()), ">u2").reshape(-1, DEPTH)
-            ids = batch.column(2).to_numpy()
-            if tail is not None:
-                tree, key, ids = (np.concatenate(x) for x in zip(tail, (tree, key, ids)))
-            new = len(tail[0]) if tail is not None else 0
+        held, done, edge_made = None, 0, False  # rows that wait or are looked back at; the first ``done`` of them are paired
+        for batch in chain(batches, [None]):
+            if batch is not None:
+                if not batch.num_rows:
+                    continue
+                key = np.frombuffer(b"".join(batch.column(1).to_pylist()), ">u2").reshape(-1, DEPTH)
+                rows = (batch.column(0).to_numpy(), key, batch.column(2).to_numpy())
+                held = rows if held is None else tuple(np.concatenate(x) for x in zip(held, rows))
+            if held is None:
+                return
+            tree, key, ids = held
             if seams and not edge_made:
-                yield out(tree=tree[:reach], key=[k.tobytes() for k in key[:reach]], ids=ids[:reach])
+                yield out(tree=tree[:reach], key=key[:reach], ids=ids[:reach])
                 edge_made = True
+            # the last rows wait for those after them, which tell how large their region is
+            stop = len(ids) if batch is None else max(done, len(ids) - reach)
+            full = np.zeros(len(ids), bool)
+            full[reach:] = (tree[reach:] == tree[:-reach]) & (key[reach:, :LEAST] == key[:-reach, :LEAST]).all(axis=1)
+            ends = np.cumsum(full)
             found = []
             for step in range(1, NEAR + 1):
-                i = np.arange(max(new, step), len(ids))
+                i = np.arange(max(done, step), stop)
                 j = i - step
                 i, j = (x[tree[i] == tree[j]] for x in (i, j))
                 shared = np.minimum.accumulate(key[i] == key[j], axis=1).sum(axis=1)
                 hit = (shared >= LEAST) & (ids[i] != ids[j])
+                if step > 1:  # no stretch of a crowded region holds both
+                    hit &= ends[np.minimum(j + reach, len(ids) - 1)] == ends[i - 1]
                 i, j, shared = i[hit], j[hit], shared[hit]
                 found.append((np.minimum(ids[i], ids[j]), np.maximum(ids[i], ids[j]), shared.astype(np.int64)))
             a, b, shared = (np.concatenate(x) for x in zip(*found))
             if len(a):
                 yield out(a, b, shared)
-            i = np.arange(max(new, reach), len(ids))
-            j = i - reach
-            i = i[(tree[i] == tree[j]) & (key[i, :LEAST] == key[j, :LEAST]).all(axis=1)]
+            i = np.flatnonzero(full[done:stop]) + done
             if len(i):
                 region = tree.astype(np.int64)
                 for k in range(LEAST):
                     region = region << 16 | key[:, k].astype(np.int64)
                 rows = np.unique((i[:, None] - np.arange(reach + 1)).ravel())
                 yield out(ids[rows], shared=region[rows])
-            tail = (tree[-reach:], key[-reach:], ids[-reach:])
-        if seams and tail is not None:
-            yield out(tree=tail[0], key=[k.tobytes() for k in tail[1]], ids=tail[2])
+            if batch is None and seams:
+                yield out(tree=tree[-reach:], key=key[-reach:], ids=ids[-reach:])
+            low = max(0, stop - reach)
+            held, done = tuple(x[low:] for x in held), stop - low
 
     return pair
 
 
 def candidates(classes: DataFrame) -> DataFrame:
-    """(a, b, shared) over classes (id, sig): a < b, shared is the sum over trees of the values they share in front."""
+    """(a, b, shared) over classes (id, sig): a < b, shared is the sum over trees of the values they share in front.
+
+    In a region with more than neighbours, only the pairs next to each other.
+    """
     return planted(classes)[0]
 
 

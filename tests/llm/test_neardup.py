@@ -137,6 +137,53 @@ def test_pairs_in_a_large_family(spark, monkeypatch):
     assert len(pairs) > 40 and not missed
 
 
+def test_candidates_of_a_family_are_a_few_a_member(spark):
+    """All pairs of small regions; of crowded ones each member, and no more pairs than members. Batches and tasks cut them anywhere."""
+    from collections import defaultdict
+
+    import numpy as np
+
+    from dialoom.llm import neardup
+
+    rng, m = np.random.default_rng(6), 600
+    sig = np.repeat(rng.integers(0, 1 << 16, (1, neardup.VALUES), np.uint16), m, axis=0)
+    sig[:400][rng.random((400, neardup.VALUES)) < 0.2] = 7  # one large family, and small ones of up to five
+    for at in range(400, m, 5):
+        sig[at : at + 5] = rng.integers(0, 1 << 16, neardup.VALUES, np.uint16)
+    hit = rng.random(sig.shape) < 0.1
+    sig[hit] = rng.integers(0, 1 << 16, hit.sum(), np.uint16)
+    regions = defaultdict(list)
+    for tree, order in enumerate(neardup._orders()):
+        for i in range(m):
+            key = tuple(int(x) for x in sig[i, order])
+            regions[tree, key[: neardup.LEAST]].append((key, i))
+    pairs, crowded = set(), set()
+    for (tree, key), rows in regions.items():
+        ids = [i for _, i in sorted(rows)]
+        few = len(ids) <= neardup.NEAR + 1
+        pairs |= {(min(a, b), max(a, b)) for n, a in enumerate(ids) for b in (ids[n + 1 :] if few else ids[n + 1 : n + 2])}
+        if not few:
+            code = tree
+            for x in key:
+                code = code << 16 | x
+            crowded |= {(i, code) for i in ids}
+    classes = spark.createDataFrame([(i, bytearray(s.tobytes())) for i, s in enumerate(sig)], "id long, sig binary")
+    names = ("spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.shuffle.partitions")
+    before = [spark.conf.get(n) for n in names]
+    for batch, parts in ((10_000, 1), (5, 7), (97, 40)):
+        for name, value in zip(names, (batch, parts)):
+            spark.conf.set(name, value)
+        try:
+            got, members = (frame.collect() for frame in neardup.planted(classes))
+        finally:
+            for name, value in zip(names, before):
+                spark.conf.set(name, value)
+        got = {(r.a, r.b) for r in got}
+        assert pairs <= got and len(got) <= len(pairs) + 20 * (parts - 1)
+        assert {(r.id, r.region) for r in members} == crowded
+    assert len(crowded) > 4000 and len(pairs) < 24 * m
+
+
 def exact_components(rows, percent=75):
     """Components of an exact join by prefixes: of two sets that alike, each holds one of the other's rarest shingles."""
     from collections import Counter
